@@ -109,3 +109,22 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose the test tables to ``spark.sql`` under their own names."""
     for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+# Test mapping of the transaction stream onto ``events`` (fixed values):
+# amount in cents, source = event type, so the rule domain/limits are
+# parameters: sources {click, view, purchase}, maximum 30000 cents.
+TEST_SOURCES = ("click", "view", "purchase")
+TEST_MAX_AMOUNT = 30000
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """user_id text, amount int, timestamp ISO text, source text (+ event_id)."""
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.col("user_id").cast("string").alias("user_id"),
+        F.round(F.col("value") * 100).cast("int").alias("amount"),
+        F.date_format("ts", ISO_MICROS).alias("timestamp"),
+        F.col("event_type").alias("source"),
+    )
