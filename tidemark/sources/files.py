@@ -29,7 +29,9 @@ def read_csv(
 
     ``mode`` handles broken lines (A2): PERMISSIVE keeps them with nulls (and
     the raw text in ``corrupt_column`` if that column is in the schema),
-    DROPMALFORMED drops them, FAILFAST raises on the first one.
+    DROPMALFORMED drops them, FAILFAST raises on the first one. A query that
+    reads no column (a bare ``count()``) does not parse lines at all, so
+    malformed lines are only detected when columns are read.
     """
     if mode not in CSV_MODES:
         raise ValueError(f"mode must be one of {CSV_MODES}")
