@@ -33,6 +33,19 @@ def unpersist(df: DataFrame, blocking: bool = False) -> DataFrame:
     return df.unpersist(blocking)
 
 
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back. Later passes (sampling, several joins, several reports)
+    scan the files instead of recomputing the plan, and a lost executor
+    does not force recomputation from the original sources."""
+    from tidemark.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``
     (shared storage), so a lost executor does not force recomputation from

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import control
+
 DEFAULT_RANK_BUCKETS = 64
 
 
@@ -55,12 +57,17 @@ def dense_rank_global(
     descending: bool = True,
     buckets: int = DEFAULT_RANK_BUCKETS,
     relative_error: float = 0.001,
+    materialize: bool = True,
 ) -> DataFrame:
     """``dense_rank() over (order by value)`` without a single-partition window (F2).
 
     Nulls rank last (Spark's default for descending order; for ascending we
-    also put them last, after every value).
+    also put them last, after every value). The bucket bounds need one pass
+    over the values before the ranking query, so by default the input is
+    materialised once (``control.materialize``) and both passes read it.
     """
+    if materialize:
+        df = control.materialize(df, "dense-rank-input")
     vals = df.select(value).distinct()
     probs = [i / buckets for i in range(1, buckets)]
     # approxQuantile (nulls ignored) returns `buckets - 1` numbers: a fixed-size sketch.
@@ -99,12 +106,17 @@ def dense_rank_top_n(
     n: int,
     rank_col: str = "dense_rank",
     descending: bool = True,
+    materialize: bool = True,
 ) -> DataFrame:
     """Rows whose dense rank is ``<= n``; ties may return more than n rows.
 
     Only the n best distinct values are ranked (a bounded set), then
-    broadcast back: no global sort of all rows.
+    broadcast back: no global sort of all rows. The input is read twice (for
+    the n values and for the rows that carry them), so by default it is
+    materialised once.
     """
+    if materialize:
+        df = control.materialize(df, "top-n-input")
     order = F.col(value).desc() if descending else F.col(value).asc()
     best = (
         df.select(value).where(F.col(value).isNotNull()).distinct().orderBy(order).limit(n)

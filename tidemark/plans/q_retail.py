@@ -245,3 +245,30 @@ def sort_multi(spark, sf_dir):
 def limit_n(spark, sf_dir):
     orders = R.clean(R.load_model(spark, sf_dir)).orders
     return G.top_k(orders, [("total_amount", "desc"), ("order_id", "asc")], 10)
+
+
+@register(
+    "agg_count",
+    "SELECT event_type AS gt, COUNT(*) AS count FROM events GROUP BY event_type",
+)
+def agg_count(spark, sf_dir):
+    """Grouped count on a bounded table (E5); the streaming form is st_count_by_key."""
+    return A.grouped_count(T.activity(spark, sf_dir), ["gt"])
+
+
+@register(
+    "agg_cube",
+    """
+SELECT gt, "User", avg("Index") AS "avg_Index", avg("User") AS "avg_User",
+       CAST((2 * SUM(CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT)) * 10000 + COUNT(value))
+            // (2 * COUNT(value)) AS DOUBLE) / 1000000 AS avg_value,
+       CAST(GROUPING(gt) * 2 + GROUPING("User") AS BIGINT) AS grouping_id
+FROM (SELECT event_id AS "Index", user_id AS "User", event_type AS gt, value FROM events)
+GROUP BY CUBE (gt, "User")""",
+)
+def agg_cube(spark, sf_dir):
+    """cube(gt, User).avg() over every numeric column, with the grouping id
+    that tells a subtotal null from a real null (E7)."""
+    act = T.activity(spark, sf_dir).select("gt", "User", "Index", S.money("value").alias("value"))
+    out = A.cube_avg(act, ["gt", "User"], with_grouping_id=True)
+    return out.withColumn("avg_value", F.col("avg_value").cast("double"))
