@@ -66,6 +66,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if ctx_dir:
         # setCheckpointDir adds a unique child; reuse its parent as the root.
         return os.path.dirname(ctx_dir.rstrip("/"))
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a shared folder (HDFS/S3/...) visible to all executors"
+        )
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
