@@ -113,9 +113,17 @@ def fn_from_json(spark, sf_dir):
     return parsed.select("event_id", "data.*")
 
 
-@register("fn_to_json")
+@register(
+    "fn_to_json",
+    """
+SELECT event_id, to_json({'user_id': CAST(user_id AS VARCHAR),
+                          'amount': CAST(round(value * 100) AS INTEGER),
+                          'timestamp': strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'),
+                          'source': event_type})::VARCHAR AS value
+FROM events""",
+)
 def fn_to_json(spark, sf_dir):
-    """Rows as JSON text (no oracle: JSON number formatting differs by engine)."""
+    """Rows as compact JSON text; null fields would be omitted."""
     tx = T.transactions(spark, sf_dir)
     return tx.select("event_id", S.row_to_json("user_id", "amount", "timestamp", "source").alias("value"))
 
