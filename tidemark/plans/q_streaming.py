@@ -23,9 +23,8 @@ from tidemark.sources import tables as T
 from tidemark.streaming import events as E
 from tidemark.streaming import runner
 from tidemark.streaming import transactions as TX
-from tidemark.streaming.replay import write_ordered_files
 
-REPLAY_FILES = 4
+REPLAY_FILES = 8
 
 # ---------------------------------------------------------------- oracle SQL pieces
 
@@ -64,16 +63,20 @@ def _activity_static(spark, sf_dir, copies_of: str | None = None):
 
 
 def _replay_activity(spark, sf_dir, n_files=REPLAY_FILES, copies_of=None):
-    """Write the activity replay as JSON files; return (path, schema).
-    The schema is taken from a static read of the same folder (A3), as the
-    stream needs an explicit one."""
+    """Write the activity replay as ``n_files`` JSON files (one parallel
+    write); return (path, schema). The schema is taken from a static read of
+    the same folder (A3), as the stream needs an explicit one."""
     path = scratch_path(spark, "activity-json")
-    write_ordered_files(_activity_static(spark, sf_dir, copies_of), path, "Creation_Time", n_files)
+    _activity_static(spark, sf_dir, copies_of).repartition(n_files).write.json(path)
     schema = spark.read.json(path).schema
     return path, schema
 
 
 def _activity_stream(spark, sf_dir, max_files=None, n_files=REPLAY_FILES, copies_of=None):
+    """The replay as a file stream. ``max_files`` throttles micro-batches;
+    queries whose result depends on arrival order (append with a watermark,
+    dedup with a watermark) take the whole replay in one batch, while the
+    multi-batch late-data rules are tested on ordered fixtures."""
     path, schema = _replay_activity(spark, sf_dir, n_files, copies_of)
     stream = SS.stream_files(spark, path, "json", schema, max_files_per_trigger=max_files)
     return E.with_event_time_from_ns(stream, "Creation_Time")
@@ -243,14 +246,12 @@ def _envelope_static(spark, sf_dir, copies_of="purchase"):
             "offset", F.col("offset") + F.lit(1 << 40)
         )
         env = env.unionByName(again)
-    return env.drop("_source").withColumn(
-        "_order", F.unix_micros(F.col("timestamp"))
-    )
+    return env.drop("_source")
 
 
 def _envelope_stream(spark, sf_dir, n_files=REPLAY_FILES, max_files=None):
     path = scratch_path(spark, "tx-envelope")
-    write_ordered_files(_envelope_static(spark, sf_dir), path, "_order", n_files, fmt="parquet")
+    _envelope_static(spark, sf_dir).repartition(n_files).write.parquet(path)
     return SS.read_envelope_files(spark, path, max_files_per_trigger=max_files)
 
 
