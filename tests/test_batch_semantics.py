@@ -41,21 +41,21 @@ def test_rank_ties_keep_extra_rows(spark):
 def test_dense_rank_desc_nulls_last(spark):
     df = spark.createDataFrame([(5,), (5,), (3,), (None,)], "v int")
     got = sorted((r.v if r.v is not None else -1, r.dense_rank)
-                 for r in W.dense_rank_global(df, "v", buckets=2).collect())
+                 for r in W.dense_rank_global(df, "v", partitions=2).collect())
     assert got == [(-1, 3), (3, 2), (5, 1), (5, 1)]
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 16])
-def test_distributed_dense_rank_equals_window(spark, buckets):
-    rnd = random.Random(buckets)
+@pytest.mark.parametrize("partitions", [None, 1, 3, 16])
+def test_distributed_dense_rank_equals_window(spark, partitions):
+    rnd = random.Random(partitions or 0)
     vals = [(i, rnd.choice([None] + list(range(40)))) for i in range(400)]
     df = spark.createDataFrame(vals, "id int, v int")
-    mine = {r.id: r.dense_rank for r in W.dense_rank_global(df, "v", buckets=buckets).collect()}
+    mine = {r.id: r.dense_rank for r in W.dense_rank_global(df, "v", partitions=partitions).collect()}
     ref = {r.id: r.dr for r in df.withColumn(
         "dr", F.dense_rank().over(Window.orderBy(F.col("v").desc()))).collect()}
     assert mine == ref
     asc = {r.id: r.dense_rank for r in
-           W.dense_rank_global(df, "v", buckets=buckets, descending=False).collect()}
+           W.dense_rank_global(df, "v", partitions=partitions, descending=False).collect()}
     ref_asc = {r.id: r.dr for r in df.withColumn(
         "dr", F.dense_rank().over(Window.orderBy(F.col("v").asc_nulls_last()))).collect()}
     assert asc == ref_asc

@@ -124,6 +124,19 @@ def test_join_strategy_hints(spark):
         assert J.physical_join_strategies(
             J.broadcast_join(fact, dim, "k", max_rows=5)) == ["SortMergeJoin"]
         assert J.physical_join_strategies(J.shuffle_hash_join(fact, dim, "k")) == ["ShuffledHashJoin"]
+        # few rows but too many bytes: no broadcast either
+        assert J.physical_join_strategies(
+            J.broadcast_join(fact, dim, "k", max_bytes=100)) == ["SortMergeJoin"]
+
+
+def test_size_bound_counts_rows_and_bytes(spark):
+    df = spark.createDataFrame([("x" * 100,), ("y" * 50,), (None,)], "s string")
+    assert J.has_bounded_size(df, max_rows=3, max_bytes=1000)
+    assert not J.has_bounded_size(df, max_rows=2, max_bytes=1000)
+    # 150 text bytes + 8 per fixed slot and 8 per row: just above 150
+    assert not J.has_bounded_size(df, max_rows=3, max_bytes=150)
+    big = spark.range(0, 100_000, numPartitions=50)
+    assert not J.has_at_most_rows(big, 10) and J.has_at_most_rows(big, 100_000)
 
 
 def test_aqe_switch(spark):

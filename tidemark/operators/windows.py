@@ -4,10 +4,10 @@ frame through a single task.
 * per-group top-n uses ``rank`` over ``partitionBy`` - Catalyst inserts a
   ``WindowGroupLimit`` so each partition keeps only candidate rows before
   the sort;
-* a global dense rank is computed on the *distinct* values, split into
-  value-range buckets: each bucket ranks its own values, bucket offsets come
-  from a tiny per-bucket count table (one row per bucket), and ranks join
-  back by value;
+* a global dense rank is computed on the *distinct* values with Spark's
+  range-partitioned sort: each sort partition numbers its own values,
+  partition offsets come from a tiny per-partition count table, and ranks
+  join back by value;
 * a global top-n by dense rank takes the n largest distinct values with a
   bounded ``orderBy().limit(n)`` and broadcasts those n rows back.
 """
@@ -21,9 +21,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import control
 
-DEFAULT_RANK_BUCKETS = 64
-
-
 def top_n_per_group(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -40,14 +37,8 @@ def top_n_per_group(
     return df.withColumn(rank_col, fn().over(w)).filter(F.col(rank_col) <= n)
 
 
-def _bucket_expr(value: str, bounds: list, descending: bool):
-    """Index of the value-range bucket; order of buckets follows rank order."""
-    arr = F.array(*[F.lit(b) for b in bounds])
-    v = F.col(value)
-    if descending:
-        # buckets count the boundaries strictly above v: largest values first
-        return F.size(F.filter(arr, lambda b: b > v))
-    return F.size(F.filter(arr, lambda b: b < v))
+# monotonically_increasing_id packs (partition index << 33) + position in partition
+_POSITION_BITS = 33
 
 
 def dense_rank_global(
@@ -55,45 +46,54 @@ def dense_rank_global(
     value: str,
     rank_col: str = "dense_rank",
     descending: bool = True,
-    buckets: int = DEFAULT_RANK_BUCKETS,
-    relative_error: float = 0.001,
+    partitions: int | None = None,
     materialize: bool = True,
 ) -> DataFrame:
     """``dense_rank() over (order by value)`` without a single-partition window (F2).
 
-    Nulls rank last (Spark's default for descending order; for ascending we
-    also put them last, after every value). The bucket bounds need one pass
-    over the values before the ranking query, so by default the input is
-    materialised once (``control.materialize``) and both passes read it.
+    The distinct values are sorted by Spark's range-partitioned sort
+    (``orderBy``, or ``partitions`` explicit range partitions), so each task
+    sorts one value range and the work per task follows the shuffle width,
+    not the data size. Every sorted value is tagged with its partition index
+    and its position inside the partition (``monotonically_increasing_id``).
+    Offsets come from a table with one row per sort partition (a prefix sum
+    over at most ``spark.sql.shuffle.partitions`` rows, broadcast back), and
+    ``rank = offset + position + 1``: distinct values make the row position
+    the dense rank. Nulls rank last in both directions.
+
+    The tagged values are written once (``control.materialize``) so the
+    offsets and the ranks read the same numbering even if a task re-runs.
+    The input is read twice (values, then rows), so by default it is
+    materialised as well.
     """
     if materialize:
         df = control.materialize(df, "dense-rank-input")
+    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     vals = df.select(value).distinct()
-    probs = [i / buckets for i in range(1, buckets)]
-    # approxQuantile (nulls ignored) returns `buckets - 1` numbers: a fixed-size sketch.
-    bounds = sorted(set(vals.approxQuantile(value, probs, relative_error))) if buckets > 1 else []
-    # nulls get a bucket of their own after every value bucket
-    bucket = F.when(F.col(value).isNull(), F.lit(len(bounds) + 1)).otherwise(
-        _bucket_expr(value, bounds, descending)
+    if partitions:
+        vals = vals.repartitionByRange(partitions, order).sortWithinPartitions(order)
+    else:
+        vals = vals.orderBy(order)
+    tagged = control.materialize(
+        vals.withColumn("_id", F.monotonically_increasing_id()), "dense-rank-sorted"
     )
-    bucketed = vals.withColumn("_bucket", bucket)
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    local = bucketed.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(order))
+    tagged = tagged.select(
+        F.col(value).alias("_v"),
+        F.shiftright("_id", _POSITION_BITS).alias("_part"),
+        F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos"),
     )
-    # one row per bucket: a bounded table, safe to window globally and broadcast
-    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_offset",
+    # one row per sort partition: bounded by the shuffle width, safe to
+    # window globally and broadcast
+    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(
+        "_part",
         F.coalesce(
-            F.sum("_n").over(
-                Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-            ),
+            F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
-        ),
-    ).select("_bucket", "_offset")
-    ranked_vals = local.join(F.broadcast(offsets), "_bucket").select(
-        F.col(value).alias("_v"), (F.col("_offset") + F.col("_local")).cast("int").alias(rank_col)
+        ).alias("_offset"),
+    )
+    ranked_vals = tagged.join(F.broadcast(offsets), "_part").select(
+        "_v", (F.col("_offset") + F.col("_pos") + 1).cast("int").alias(rank_col)
     )
     # null-safe equality so null values find their (last) rank
     out = df.join(ranked_vals, df[value].eqNullSafe(F.col("_v")), how="inner")
