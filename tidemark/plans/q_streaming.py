@@ -64,12 +64,13 @@ def _activity_static(spark, sf_dir, copies_of: str | None = None):
 
 def _replay_activity(spark, sf_dir, n_files=REPLAY_FILES, copies_of=None):
     """Write the activity replay as ``n_files`` JSON files (one parallel
-    write); return (path, schema). The schema is taken from a static read of
-    the same folder (A3), as the stream needs an explicit one."""
+    write); return (path, schema). A file stream needs an explicit schema;
+    it is the declared schema of the frame written, so no inference pass
+    reads the replay (``src_json_dir`` shows the inferred form, A3)."""
     path = scratch_path(spark, "activity-json")
-    _activity_static(spark, sf_dir, copies_of).repartition(n_files).write.json(path)
-    schema = spark.read.json(path).schema
-    return path, schema
+    static = _activity_static(spark, sf_dir, copies_of)
+    static.repartition(n_files).write.json(path)
+    return path, static.schema
 
 
 def _activity_stream(spark, sf_dir, max_files=None, n_files=REPLAY_FILES, copies_of=None):
