@@ -1,4 +1,4 @@
-"""Registered queries: file sources and the batch sink (A1, A3, A5, B1)."""
+"""Registered queries: file sources and batch sinks."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from tidemark.operators.joins import broadcast_join
 from tidemark.plans import batch_pipeline
 from tidemark.plans.registry import register
 from tidemark.session import scratch_path
+from tidemark.sinks import stream as K
 from tidemark.sources import files as FS
 from tidemark.sources import tables as T
 
@@ -43,6 +44,103 @@ def src_json_dir(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------- malformed CSV (A2)
+
+# Fixed values of the fault injection: every line of one brand's products is
+# replaced by this junk text, the broken-line class of the reference's
+# product feed. All rows of ``part`` are written; the rule only picks which
+# lines are broken.
+BROKEN_BRAND = "Brand#13"
+BROKEN_LINE = "BAD_LINE_HERE"
+PRODUCT_CSV_SCHEMA = "product_id int, product_name string, category string, price int"
+CORRUPT_COLUMN = "_corrupt_record"
+
+
+def _product_feed_csv(spark, sf_dir):
+    """part -> headerless CSV lines (id, name, type, whole price), with the
+    broken brand's lines replaced by junk; one parallel text write."""
+    part = T.table(spark, sf_dir, "part")
+    good = F.concat_ws(",", F.col("p_partkey").cast("string"), "p_name", "p_type",
+                       F.floor("p_retailprice").cast("string"))
+    line = F.when(F.col("p_brand") == BROKEN_BRAND, F.lit(BROKEN_LINE)).otherwise(good)
+    path = scratch_path(spark, "product-feed-csv")
+    part.select(line.alias("value")).write.text(path)
+    return path
+
+
+PRODUCT_FEED_SQL = """
+SELECT CAST(p_partkey AS INTEGER) AS product_id, p_name AS product_name, p_type AS category,
+       CAST(floor(p_retailprice) AS INTEGER) AS price{extra}
+FROM part WHERE p_brand <> 'Brand#13'"""
+
+
+@register(
+    "src_csv_malformed",
+    PRODUCT_FEED_SQL.format(extra=", CAST(NULL AS VARCHAR) AS _corrupt_record")
+    + """
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, 'BAD_LINE_HERE' FROM part WHERE p_brand = 'Brand#13'""",
+)
+def src_csv_malformed(spark, sf_dir):
+    """PERMISSIVE read: broken lines stay as all-null rows whose raw text is
+    kept in the corrupt-record column."""
+    path = _product_feed_csv(spark, sf_dir)
+    return FS.read_csv(spark, path, schema=f"{PRODUCT_CSV_SCHEMA}, {CORRUPT_COLUMN} string",
+                       header=False, mode="PERMISSIVE", corrupt_column=CORRUPT_COLUMN)
+
+
+@register("src_csv_dropmalformed", PRODUCT_FEED_SQL.format(extra=""))
+def src_csv_dropmalformed(spark, sf_dir):
+    """DROPMALFORMED read: broken lines are dropped."""
+    path = _product_feed_csv(spark, sf_dir)
+    return FS.read_csv(spark, path, schema=PRODUCT_CSV_SCHEMA, header=False,
+                       mode="DROPMALFORMED")
+
+
+# ---------------------------------------------------------------- schema document (A4)
+
+# Fixed value: a Spark schema document for the event feed. The "unique" key
+# is not a Spark field property; reading the document ignores it.
+EVENT_SCHEMA_DOC = {
+    "type": "struct",
+    "fields": [
+        {"name": "event_id", "type": "long", "nullable": False, "metadata": {}, "unique": True},
+        {"name": "user_id", "type": "long", "nullable": True, "metadata": {}},
+        {"name": "event_type", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "value", "type": "double", "nullable": True, "metadata": {}},
+    ],
+}
+
+
+@register("src_schema_json", "SELECT event_id, user_id, event_type, value FROM events")
+def src_schema_json(spark, sf_dir):
+    """events -> JSON lines -> read with the schema built from the document;
+    fields the document does not name are not read."""
+    path = scratch_path(spark, "events-json-doc")
+    T.table(spark, sf_dir, "events").write.json(path)
+    return FS.read_json_dir(spark, path, schema=FS.schema_from_json(EVENT_SCHEMA_DOC))
+
+
+# ---------------------------------------------------------------- keyed records
+
+
+@register(
+    "sink_kafka_keyed",
+    """
+SELECT CAST(user_id AS VARCHAR) AS key,
+       to_json({'user_id': CAST(user_id AS VARCHAR),
+                'amount': CAST(round(value * 100) AS INTEGER),
+                'timestamp': strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'),
+                'source': event_type})::VARCHAR AS value
+FROM events""",
+)
+def sink_kafka_keyed(spark, sf_dir):
+    """Records shaped for a keyed Kafka write: the key (user id) sends all
+    of a user's records to one topic partition, the value is the row's JSON."""
+    tx = T.transactions(spark, sf_dir).select("user_id", "amount", "timestamp", "source")
+    return K.as_kafka_record(tx, key="user_id")
+
+
 # The transaction source domain and its channel weights, an
 # inline lookup table (bounded by construction, so broadcast is safe).
 EVENT_TYPE_CHANNEL = [
