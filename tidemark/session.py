@@ -48,6 +48,14 @@ def build_session(
     return spark
 
 
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir`` as the session or the cluster defaults set it."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return configured or None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -55,9 +63,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     every executor). Only when it is unset - local runs and tests - do we
     fall back to a fresh local folder and register it with the context.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    configured = configured_checkpoint_dir(spark)
     ctx_dir = spark.sparkContext.getCheckpointDir()
     if configured:
         if not ctx_dir:
