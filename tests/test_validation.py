@@ -97,3 +97,22 @@ def test_kafka_record_omits_null_fields(spark):
     df = spark.createDataFrame([("U1", None)], "user_id string, error_reason string")
     rec = K.as_kafka_record(df, key="user_id").collect()[0]
     assert rec.key == "U1" and json.loads(rec.value) == {"user_id": "U1"}
+
+
+def test_chained_totals_with_a_continuous_trigger(spark, tmp):
+    """Totals read the published valid records; with a processing-time
+    trigger they start after the validator's first committed batch."""
+    src = f"{tmp}/envelope"
+    _envelope(spark).write.parquet(src)
+    streams = TX.build(read_envelope_files(spark, src), V.Rules(mode="strict"))
+    out = TX.Outputs(valid=f"{tmp}/valid", rejected=f"{tmp}/dlq", totals=f"{tmp}/totals",
+                     checkpoint=f"{tmp}/ckpt")
+    qs = TX.start(streams, out, trigger={"processingTime": "1 second"}, totals_mode="complete")
+    try:
+        for q in qs:
+            q.processAllAvailable()
+    finally:
+        for q in qs:
+            q.stop()
+    assert TX.read_records(spark, out.valid).count() == 2
+    assert [r.running_total for r in spark.read.parquet(out.totals).collect()] == [10_020_000]

@@ -5,10 +5,19 @@ outputs, and total valid amounts per one-minute window.
 ``build`` returns the three streaming frames; ``start`` wires them to sinks.
 The same ``build`` applied to a bounded envelope table gives the batch end
 state, which is how the stream is tested.
+
+Topology of ``start`` (default): the raw topic is read by two queries, the
+validator (valid records, de-duplicated) and the dead-letter router; the
+minute totals are computed downstream from the *published valid records*
+(the valid topic, or its file stand-in), so the raw topic is not decoded,
+validated and de-duplicated a third time and the de-duplication state
+exists once. ``chain_totals=False`` keeps the reference's three readers of
+the raw topic.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -19,17 +28,24 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.functions.scalar import binary_to_string, parse_json
 from tidemark.operators import validation as V
 from tidemark.sinks import stream as K
+from tidemark.sources import stream as SS
 from tidemark.streaming.events import dedup_unbounded, dedup_within_watermark
 
 WATERMARK = "3 minutes"
 TOTAL_WINDOW = "1 minute"
 
 
+# Columns of a published record (``sinks.stream.as_kafka_record``).
+RECORD_SCHEMA = "key string, value string"
+
+
 @dataclass(frozen=True)
 class TransactionStreams:
     valid: DataFrame
     rejected: DataFrame
     minute_totals: DataFrame
+    watermark: str = WATERMARK
+    window: str = TOTAL_WINDOW
 
 
 def decode(envelope: DataFrame) -> DataFrame:
@@ -65,7 +81,19 @@ def build(
         valid = dedup_within_watermark(valid, keys, "event_time", watermark)
     # on a stream the valid side already carries the event-time watermark
     totals = V.minute_totals(valid, window)
-    return TransactionStreams(valid=valid, rejected=rejected, minute_totals=totals)
+    return TransactionStreams(valid=valid, rejected=rejected, minute_totals=totals,
+                              watermark=watermark, window=window)
+
+
+def totals_from_records(records: DataFrame, watermark: str = WATERMARK,
+                        window: str = TOTAL_WINDOW) -> DataFrame:
+    """Minute totals computed from published valid records (``value`` = the
+    record's JSON): decode, event time, watermark, window sum (I13). The
+    records are already validated and de-duplicated upstream."""
+    valid = V.with_event_time(decode(records))
+    if valid.isStreaming:
+        valid = valid.withWatermark("event_time", watermark)
+    return V.minute_totals(valid, window)
 
 
 @dataclass(frozen=True)
@@ -81,6 +109,8 @@ def start(
     out: Outputs,
     trigger: dict | None = None,
     totals_mode: str = "append",
+    chain_totals: bool = True,
+    first_commit_timeout: float = 600.0,
 ) -> list[StreamingQuery]:
     """Start the three queries with their own checkpoints.
 
@@ -89,6 +119,12 @@ def start(
     ``sinks.stream.start_kafka`` takes the same frames. Minute totals go to
     Parquet in append mode: a window is written once, when the watermark
     passes its end.
+
+    With ``chain_totals`` the totals query reads the valid output as a
+    stream (the file sink's commit log makes it see only committed files).
+    It starts once that output exists: after the validator ends for a
+    one-shot trigger (``availableNow``/``once``), after its first committed
+    batch otherwise.
     """
     q_valid = K.start_files(
         K.as_kafka_record(streams.valid, key="user_id"), out.valid,
@@ -98,17 +134,42 @@ def start(
         K.as_kafka_record(streams.rejected, key="user_id"), out.rejected,
         f"{out.checkpoint}/dlq", fmt="parquet", trigger=trigger,
     )
+    totals = streams.minute_totals
+    if chain_totals:
+        _await_first_commit(q_valid, trigger, first_commit_timeout)
+        spark = streams.valid.sparkSession
+        records = SS.stream_files(spark, out.valid, "parquet", RECORD_SCHEMA)
+        totals = totals_from_records(records, streams.watermark, streams.window)
     if totals_mode == "append":
-        q_totals = K.start_files(streams.minute_totals, out.totals, f"{out.checkpoint}/totals",
+        q_totals = K.start_files(totals, out.totals, f"{out.checkpoint}/totals",
                                  trigger=trigger)
     else:
         q_totals = K.start_foreach_batch(
-            streams.minute_totals, K.overwrite_table_each_batch(out.totals),
+            totals, K.overwrite_table_each_batch(out.totals),
             f"{out.checkpoint}/totals", output_mode=totals_mode, trigger=trigger,
         )
     return [q_valid, q_rejected, q_totals]
 
 
+def _await_first_commit(query: StreamingQuery, trigger: dict | None, timeout: float) -> None:
+    """Wait until ``query`` has committed output: its end for a one-shot
+    trigger, else its first completed batch (progress is polled, no data
+    reaches the driver). A failure of the query is raised here."""
+    one_shot = bool(trigger) and any(trigger.get(k) for k in ("availableNow", "once"))
+    if one_shot:
+        query.awaitTermination()
+    else:
+        waited = 0.0
+        while query.lastProgress is None and query.isActive and waited < timeout:
+            time.sleep(0.2)
+            waited += 0.2
+    exc = query.exception()
+    if exc is not None:
+        raise RuntimeError(f"validator query failed: {exc}")
+    if not one_shot and query.lastProgress is None:
+        raise TimeoutError("validator committed no batch; totals query not started")
+
+
 def read_records(spark, path: str) -> DataFrame:
     """Read a record output back into transaction columns."""
     recs = spark.read.parquet(path)
