@@ -74,3 +74,11 @@ def test_scratch_uses_the_configured_shared_folder(spark, monkeypatch):
     monkeypatch.setattr(session, "configured_checkpoint_dir", lambda _: "hdfs://nn/ckpt/")
     assert session.checkpoint_root(spark) == "hdfs://nn/ckpt"
     assert session.scratch_path(spark, "x").startswith("hdfs://nn/ckpt/x-")
+
+
+def test_top_n_per_group_cuts_hot_groups_before_the_shuffle(spark):
+    df = spark.range(10_000).select((F.col("id") % 2).alias("city"), F.col("id").alias("gmv"))
+    plan = J.plan_text(W.top_n_per_group(df, ["city"], "gmv", 3), "simple")
+    # the partial limit keeps n rows per group and map task before the exchange
+    assert plan.index("Exchange hashpartitioning") < plan.index("Partial")
+    assert "WindowGroupLimit" in plan
