@@ -36,7 +36,7 @@ HEADLINE = [
     "st_sliding",
     "st_watermark_append",
     "st_dedup_watermark",
-    "st_pipeline_minute_total",
+    "st_tx_minute_total",
     "src_stream_json",
 ]
 

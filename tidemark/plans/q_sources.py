@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import broadcast_join
-from tidemark.plans import batch_pipeline
+from tidemark.plans import gmv_batch
 from tidemark.plans.registry import register
 from tidemark.session import scratch_path
 from tidemark.sinks import stream as K
@@ -179,4 +179,4 @@ WHERE l.l_quantity > 0 AND l.l_extendedprice > 0""",
 )
 def sink_parquet_overwrite(spark, sf_dir):
     """The GMV batch job end to end, read back from its Parquet output."""
-    return batch_pipeline.run(spark, sf_dir, scratch_path(spark, "gmv-parquet"))
+    return gmv_batch.run(spark, sf_dir, scratch_path(spark, "gmv-parquet"))

@@ -256,7 +256,7 @@ def _envelope_stream(spark, sf_dir, n_files=REPLAY_FILES, max_files=None):
     return SS.read_envelope_files(spark, path, max_files_per_trigger=max_files)
 
 
-def _run_pipeline(spark, sf_dir, rules=TEST_RULES):
+def _run_transactions(spark, sf_dir, rules=TEST_RULES):
     streams = TX.build(_envelope_stream(spark, sf_dir), rules)
     out = TX.Outputs(
         valid=scratch_path(spark, "tx-valid"), rejected=scratch_path(spark, "tx-dlq"),
@@ -313,28 +313,28 @@ FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_type = 'pu
 
 
 @register(
-    "st_pipeline_valid",
+    "st_tx_valid",
     f"""SELECT user_id, amount, "timestamp", source FROM ({TX_SQL}) WHERE ({RULES_SQL}) IS NULL""",
 )
-def st_pipeline_valid(spark, sf_dir):
-    """Valid, de-duplicated records published by the pipeline."""
-    out = _run_pipeline(spark, sf_dir)
+def st_tx_valid(spark, sf_dir):
+    """Valid, de-duplicated records published by the transaction stream."""
+    out = _run_transactions(spark, sf_dir)
     return TX.read_records(spark, out.valid).select("user_id", "amount", "timestamp", "source")
 
 
 @register(
-    "st_pipeline_dlq",
+    "st_tx_dlq",
     f"""SELECT user_id, amount, "timestamp", source, error_reason FROM (
   SELECT *, {RULES_SQL} AS error_reason FROM ({TX_ALL_SQL})) WHERE error_reason IS NOT NULL""",
 )
-def st_pipeline_dlq(spark, sf_dir):
+def st_tx_dlq(spark, sf_dir):
     """Rejected records with their reason on the dead-letter output."""
-    out = _run_pipeline(spark, sf_dir)
+    out = _run_transactions(spark, sf_dir)
     return TX.read_records(spark, out.rejected)
 
 
 @register(
-    "st_pipeline_minute_total",
+    "st_tx_minute_total",
     f"""
 SELECT window_start, window_end, running_total FROM (
   SELECT time_bucket(INTERVAL '1 minute', event_time) AS window_start,
@@ -344,9 +344,9 @@ SELECT window_start, window_end, running_total FROM (
 WHERE window_end <= (SELECT max(event_time) - INTERVAL '3 minutes' FROM ({TX_SQL})
                      WHERE ({RULES_SQL}) IS NULL)""",
 )
-def st_pipeline_minute_total(spark, sf_dir):
+def st_tx_minute_total(spark, sf_dir):
     """Per-minute totals of valid amounts, appended as windows close."""
-    out = _run_pipeline(spark, sf_dir)
+    out = _run_transactions(spark, sf_dir)
     return spark.read.parquet(out.totals)
 
 
