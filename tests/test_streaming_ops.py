@@ -162,3 +162,16 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
     with pytest.raises(ValueError):
         JD.read_jdbc(spark, "jdbc:postgresql://db/x", "t", partition_column="id",
                      lower_bound=1, upper_bound=9)
+
+
+def test_large_state_store_option(spark, tmp):
+    from tidemark.session import LARGE_STATE_CONF
+    _write(f"{tmp}/src", "f0", [("a", "2024-01-01T00:00:00Z", 1), ("a", "2024-01-01T00:01:00Z", 2),
+                                ("b", "2024-01-01T00:02:00Z", 4)], 1e9)
+    with M.session_conf(spark, LARGE_STATE_CONF):
+        s = SS.stream_files(spark, f"{tmp}/src", "json", SCHEMA)
+        q = K.start_foreach_batch(E.count_by(s, ["user"]), K.overwrite_table_each_batch(f"{tmp}/out"),
+                                  f"{tmp}/ckpt", output_mode="complete", trigger=runner.AVAILABLE_NOW)
+        runner.await_all([q])
+    got = sorted((r.user, r["count"]) for r in spark.read.parquet(f"{tmp}/out").collect())
+    assert got == [("a", 2), ("b", 1)]

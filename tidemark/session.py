@@ -25,19 +25,34 @@ SESSION_DEFAULTS = {
 }
 
 
+# For streams whose state outgrows executor heaps (per-user counters over
+# many users, complete-mode cubes): RocksDB keeps state off-heap and on local
+# disk, checkpointed incrementally. Slower than the default store for small
+# state, so it is opt-in. Fixed per checkpoint: choose it before first start.
+LARGE_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(
     master: str = "local[*]",
     app_name: str = "tidemark",
     shuffle_partitions: int | None = None,
     extra: dict | None = None,
+    large_state: bool = False,
 ) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
     ``shuffle_partitions`` should be sized so one partition fits executor
     memory at the target scale; AQE coalesces small ones at runtime.
+    ``large_state`` selects the RocksDB state store for streaming state.
     """
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SESSION_DEFAULTS)
+    if large_state:
+        conf.update(LARGE_STATE_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
