@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tidemark.functions.scalar import normalize_text, parse_datetime
 
@@ -93,22 +94,28 @@ def dedup_keys(
 ) -> DataFrame:
     """One row per key with a deterministic survivor.
 
-    The survivor is the row whose ``order_by`` columns (then the remaining
-    columns) are smallest. It is computed as ``min(struct(...))`` in a hash
-    aggregate, so each map task pre-reduces its rows before the shuffle: a key
-    holding a third of all rows costs one row per map task, not a hot reducer.
-    Null keys compare equal, as with ``dropDuplicates``.
+    The survivor is the row whose ``order_by`` columns, then the remaining
+    columns, are smallest (nulls first): ``row_number() = 1`` over the key.
+    Spark plans it with a partial ``WindowGroupLimit`` before the shuffle, so
+    each map task keeps one row per key: a key holding a third of all rows
+    costs one row per map task, not a hot reducer. Null keys compare equal,
+    as with ``dropDuplicates``. Map-typed columns cannot be ordered; rows
+    that differ only there keep an arbitrary survivor.
     """
     keys = list(keys)
     order_by = list(order_by or [])
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     if not order_by and not rest:
         return df.select(*keys).distinct()
-    payload = F.struct(*[F.col(c) for c in order_by + rest]).alias("_row")
-    picked = df.groupBy(*keys).agg(F.min(payload).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in order_by + rest]).select(
-        *df.columns
-    )
+    types = {f.name: f.dataType for f in df.schema.fields}
+    ordering = [F.col(c).asc_nulls_first() for c in order_by + rest
+                if not isinstance(types[c], MapType)]
+    if not ordering:
+        return df.dropDuplicates(keys)
+    w = Window.partitionBy(*keys).orderBy(*ordering)
+    return df.withColumn("_survivor", F.row_number().over(w)).where(
+        F.col("_survivor") == 1
+    ).drop("_survivor")
 
 
 def distinct_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
