@@ -48,9 +48,8 @@ def _run(df) -> None:
 def report_suite(spark, sf_dir):
     """All six order-analytics reports from one materialised fact table."""
     fact = R.materialize(spark, R.fact_table(R.prepared(spark, sf_dir)), "fact")
-    for report in (R.daily_category_metrics, R.city_metrics, R.top_categories_per_city,
-                   R.ranked_users, R.cumulative_gmv, R.top_customers):
-        _run(report(fact))
+    for report in R.reports(fact).values():
+        _run(report)
 
 
 def main() -> None:

@@ -189,3 +189,14 @@ def test_patterned_timestamp_parse(spark):
     df = spark.createDataFrame([("2024-01-01 10:00:00",), ("2024-01-01",), ("junk",)], "t string")
     got = [r.t for r in C.to_timestamp_columns(df, ["t"], S.DATETIME_PATTERN).collect()]
     assert got[0] == dt.datetime(2024, 1, 1, 10, 0) and got[1] is None and got[2] is None
+
+
+def test_report_suite_shares_user_metrics(spark):
+    from tidemark.plans import retail as R
+    fact = R.materialize(spark, R.fact_table(R.prepared(spark, "/root/testdata/sf0.001")), "fact")
+    reps = R.reports(fact)
+    assert sorted(reps) == ["city", "cumulative_gmv", "daily_category", "ranked_users",
+                            "top_categories", "top_customers"]
+    alone = R.top_customers(fact).collect()
+    assert sorted(alone) == sorted(reps["top_customers"].collect())
+    assert sorted(R.ranked_users(fact).collect()) == sorted(reps["ranked_users"].collect())
