@@ -82,3 +82,14 @@ def test_top_n_per_group_cuts_hot_groups_before_the_shuffle(spark):
     # the partial limit keeps n rows per group and map task before the exchange
     assert plan.index("Exchange hashpartitioning") < plan.index("Partial")
     assert "WindowGroupLimit" in plan
+
+
+def test_scale_conf_sizes_partitions():
+    tb = 1024 ** 4
+    big = session.scale_conf(100 * tb, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000  # capped
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 * 1024 ** 2
+    small = session.scale_conf(10 * 1024 ** 3, total_cores=64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128  # two waves of cores
+    mid = session.scale_conf(1 * tb, total_cores=200)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 2048

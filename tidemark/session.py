@@ -6,6 +6,7 @@ steer one query (join preferences are per-query hints instead).
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -63,6 +64,42 @@ def build_session(
     return spark
 
 
+def scale_conf(
+    input_bytes: float,
+    total_cores: int,
+    shuffle_blowup: float = 2.0,
+    split_bytes: int = 512 * 1024 * 1024,
+    reduce_bytes: int = 1024 * 1024 * 1024,
+    max_shuffle_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Session settings sized for a job reading ``input_bytes`` on a cluster
+    with ``total_cores`` task slots.
+
+    * scan splits of ``split_bytes`` (``maxPartitionBytes``): 100 TB gives
+      about 200k scan tasks, each small enough for one task's memory;
+    * initial shuffle width from the bytes a shuffle may carry (input times
+      ``shuffle_blowup`` for decompressed, joined rows) over ``reduce_bytes``,
+      at least two waves of all cores, and at most ``max_shuffle_partitions``:
+      shuffle blocks grow as map tasks x reduce partitions, so past the cap
+      partitions get larger instead (sort-based shuffle and aggregation
+      spill, so a larger partition is slower, not fatal);
+    * AQE coalesces small partitions toward half the reduce size and splits
+      join partitions skewed beyond twice it;
+    * a static broadcast only for inputs estimated under 64 MB; larger
+      conversions are left to AQE, which sees measured sizes.
+    """
+    shuffle_parts = math.ceil(input_bytes * shuffle_blowup / reduce_bytes)
+    shuffle_parts = max(2 * total_cores, min(max_shuffle_partitions, shuffle_parts))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(reduce_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * reduce_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def configured_checkpoint_dir(spark: SparkSession) -> str | None:
     """``spark.checkpoint.dir`` as the session or the cluster defaults set it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
