@@ -175,3 +175,17 @@ def test_large_state_store_option(spark, tmp):
         runner.await_all([q])
     got = sorted((r.user, r["count"]) for r in spark.read.parquet(f"{tmp}/out").collect())
     assert got == [("a", 2), ("b", 1)]
+
+
+def test_state_width_is_fixed_per_query_and_restored(spark, tmp):
+    _write(f"{tmp}/src", "f0", [("a", "2024-01-01T00:00:00Z", 1), ("b", "2024-01-01T00:01:00Z", 2)],
+           1e9)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with runner.state_width(spark, 3) as n:
+        s = SS.stream_files(spark, f"{tmp}/src", "json", SCHEMA)
+        q = K.start_foreach_batch(E.count_by(s, ["user"]), K.overwrite_table_each_batch(f"{tmp}/out"),
+                                  f"{tmp}/ckpt", output_mode="complete", trigger=runner.AVAILABLE_NOW)
+    runner.await_all([q])
+    assert n == 3 and spark.conf.get("spark.sql.shuffle.partitions") == before
+    # the state store holds 3 partitions: one state folder per partition
+    assert sorted(os.listdir(f"{tmp}/ckpt/state/0")) == ["0", "1", "2", "_metadata"]

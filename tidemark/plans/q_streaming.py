@@ -85,23 +85,26 @@ def _activity_stream(spark, sf_dir, max_files=None, n_files=REPLAY_FILES, copies
 
 def _run_files(spark, df, name, output_mode="append"):
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    q = K.start_files(df, out, ckpt, output_mode=output_mode, trigger=runner.AVAILABLE_NOW)
+    with runner.state_width(spark):
+        q = K.start_files(df, out, ckpt, output_mode=output_mode, trigger=runner.AVAILABLE_NOW)
     runner.await_all([q])
     return spark.read.schema(df.schema).parquet(out)
 
 
 def _run_complete(spark, df, name):
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    q = K.start_foreach_batch(df, K.overwrite_table_each_batch(out), ckpt,
-                              output_mode="complete", trigger=runner.AVAILABLE_NOW)
+    with runner.state_width(spark):
+        q = K.start_foreach_batch(df, K.overwrite_table_each_batch(out), ckpt,
+                                  output_mode="complete", trigger=runner.AVAILABLE_NOW)
     runner.await_all([q])
     return spark.read.parquet(out)
 
 
 def _run_update(spark, df, name, keys):
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    q = K.start_foreach_batch(df, K.append_updates_each_batch(out), ckpt,
-                              output_mode="update", trigger=runner.AVAILABLE_NOW)
+    with runner.state_width(spark):
+        q = K.start_foreach_batch(df, K.append_updates_each_batch(out), ckpt,
+                                  output_mode="update", trigger=runner.AVAILABLE_NOW)
     runner.await_all([q])
     return K.latest_state(spark.read.parquet(out), keys)
 
@@ -262,7 +265,9 @@ def _run_transactions(spark, sf_dir, rules=TEST_RULES):
         valid=scratch_path(spark, "tx-valid"), rejected=scratch_path(spark, "tx-dlq"),
         totals=scratch_path(spark, "tx-totals"), checkpoint=scratch_path(spark, "tx-ckpt"),
     )
-    runner.await_all(TX.start(streams, out, trigger=runner.AVAILABLE_NOW))
+    with runner.state_width(spark):
+        queries = TX.start(streams, out, trigger=runner.AVAILABLE_NOW)
+    runner.await_all(queries)
     return out
 
 

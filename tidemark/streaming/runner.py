@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import contextlib
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators import control
+
 AVAILABLE_NOW = {"availableNow": True}
 
 
+@contextlib.contextmanager
+def state_width(spark: SparkSession, partitions: int | None = None) -> Iterator[int]:
+    """Shuffle (and so state-store) partitions of streaming queries started
+    inside the block.
+
+    A stateful query fixes this width in its checkpoint at its first start.
+    One partition per task slot (the default) spreads state over the whole
+    cluster and keeps each micro-batch's state-store work in step with the
+    cores, independent of the session's batch shuffle setting.
+    """
+    n = int(partitions or spark.sparkContext.defaultParallelism)
+    with control.session_conf(spark, {"spark.sql.shuffle.partitions": str(n)}):
+        yield n
+
+
 def await_all(queries: Iterable[StreamingQuery], timeout: float | None = None) -> None:
     """Wait for every query to end; re-raise the first failure."""
     for q in queries:
