@@ -189,3 +189,10 @@ def test_state_width_is_fixed_per_query_and_restored(spark, tmp):
     assert n == 3 and spark.conf.get("spark.sql.shuffle.partitions") == before
     # the state store holds 3 partitions: one state folder per partition
     assert sorted(os.listdir(f"{tmp}/ckpt/state/0")) == ["0", "1", "2", "_metadata"]
+
+
+def test_latest_state_keeps_newest_batch_per_key(spark):
+    updates = spark.createDataFrame(
+        [("a", 1, 0), ("b", 5, 0), ("a", 3, 1), ("a", 4, 10)], "user string, count long, update_batch int")
+    got = sorted((r.user, r["count"]) for r in K.latest_state(updates, ["user"]).collect())
+    assert got == [("a", 4), ("b", 5)]

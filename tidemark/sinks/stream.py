@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -104,13 +104,14 @@ def append_updates_each_batch(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def latest_state(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fold an update log to one row per key: the row of the newest batch
-    (a hash aggregate with map-side pre-reduction, no global sort)."""
+    """Fold an update log to one row per key: the row of the newest batch.
+    ``row_number() = 1`` per key is planned with a partial group limit, so
+    each map task keeps one row per key before the shuffle (no global sort).
+    A key appears at most once per batch, so the newest row is unique."""
     rest = [c for c in updates.columns if c not in keys and c != "update_batch"]
-    latest = updates.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in rest]), F.col("update_batch")).alias("_row")
-    )
-    return latest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    w = Window.partitionBy(*keys).orderBy(F.col("update_batch").desc())
+    newest = updates.withColumn("_newest", F.row_number().over(w)).where(F.col("_newest") == 1)
+    return newest.select(*keys, *rest)
 
 
 def split_each_batch(
