@@ -54,7 +54,7 @@ def _run(df) -> None:
 
 def report_suite(spark, sf_dir):
     """All six order-analytics reports from one materialised fact table."""
-    fact = R.materialize_for_reports(spark, R.fact_table(R.prepared(spark, sf_dir)))
+    fact = R.materialize_for_reports(spark, R.fact_table(R.prepared(spark, sf_dir, skew_safe_joins=True)))
     for report in R.reports(fact).values():
         _run(report)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +44,20 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer-reading inference job on the way back
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_all(frames: Mapping[str, DataFrame], prefix: str = "materialized"
+                    ) -> dict[str, DataFrame]:
+    """``materialize`` several independent frames with concurrent jobs (one
+    driver thread each), so small writes do not queue behind each other and
+    large ones share the cluster."""
+    if len(frames) <= 1:
+        return {k: materialize(v, f"{prefix}-{k}") for k, v in frames.items()}
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        futures = {k: pool.submit(materialize, v, f"{prefix}-{k}") for k, v in frames.items()}
+        return {k: f.result() for k, f in futures.items()}
 
 
 def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:

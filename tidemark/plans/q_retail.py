@@ -23,7 +23,7 @@ FACT_COLUMNS = [
 
 
 def _fact(spark, sf_dir):
-    return R.fact_table(R.prepared(spark, sf_dir))
+    return R.fact_table(R.prepared(spark, sf_dir, skew_safe_joins=True))
 
 
 @register("join_star_fact", O.with_model(f"SELECT {', '.join(FACT_COLUMNS)} FROM fact"))
