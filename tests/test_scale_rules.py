@@ -138,6 +138,12 @@ def test_hot_order_is_split_in_the_star_join(spark, tmp):
             splits.append(J.plan_text(df, "simple").count("skew=true"))
     assert results[0] == results[1]
     assert splits[0] == 0 and splits[1] >= 1
+    # a per-user aggregate right after the user join: the hot order's user is
+    # split as well (forceOptimizeSkewedJoin, a session default)
+    with control.session_conf(spark, tiny):
+        per_user = R.user_metrics(R.fact_table(R.add_features(R.materialize_dimensions(R.clean(model)))))
+        per_user.collect()
+        assert J.plan_text(per_user, "simple").count("skew=true") >= 2
 
 
 def test_skew_safe_model_reads_written_dimensions(spark):
