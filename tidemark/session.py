@@ -1,7 +1,10 @@
 """Session defaults and the shared scratch/checkpoint folder.
 
-Every session-level setting lives here; jobs never mutate the session to
-steer one query (join preferences are per-query hints instead).
+Every session-level setting lives here; jobs do not mutate the session to
+steer one query (join preferences are per-query hints instead). The one
+exception is ``streaming.runner.state_width``: a stateful stream fixes its
+state-store width at first start, so the width is set around the start and
+restored right after.
 """
 
 from __future__ import annotations
