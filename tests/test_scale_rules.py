@@ -153,3 +153,13 @@ def test_skew_safe_model_reads_written_dimensions(spark):
         assert all("/dim-" in f for f in getattr(m, d).inputFiles())
     plain = R.fact_table(R.prepared(spark, SF_SMALL))
     assert sorted(R.fact_table(m).collect()) == sorted(plain.collect())
+
+
+def test_materialize_all_writes_concurrently_and_raises_failures(spark):
+    from tidemark.operators import control
+    good = spark.range(100).select(F.col("id").alias("k"))
+    out = control.materialize_all({"a": good, "b": good.where("k < 10")}, "t")
+    assert out["a"].count() == 100 and out["b"].count() == 10
+    bad = spark.range(3).select(F.raise_error(F.lit("boom")).alias("x"))
+    with pytest.raises(Exception, match="boom"):
+        control.materialize_all({"good": good, "bad": bad}, "t")
