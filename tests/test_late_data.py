@@ -4,7 +4,6 @@ One JSON file per micro-batch, modification times set in batch order;
 watermark 3 minutes on t, one-minute tumbling sum of v.
 """
 
-import datetime as dt
 import json
 import os
 
