@@ -212,3 +212,11 @@ def test_reports_on_projected_fact_equal_full_fact(spark):
                      ("top_categories", R.top_categories_per_city),
                      ("cumulative_gmv", R.cumulative_gmv)]:
         assert sorted(reps[name].collect()) == sorted(fn(full).collect()), name
+
+
+def test_dense_rank_global_edge_inputs(spark):
+    empty = spark.createDataFrame([], "id int, v int")
+    assert W.dense_rank_global(empty, "v").count() == 0
+    nulls = spark.createDataFrame([(1, None), (2, None)], "id int, v int")
+    assert sorted((r.id, r.dense_rank) for r in W.dense_rank_global(nulls, "v").collect()) == [
+        (1, 1), (2, 1)]
