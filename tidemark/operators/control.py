@@ -8,12 +8,15 @@ through ``session_conf``, which restores the previous values afterwards.
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 LEVELS = {
     "DISK_ONLY": StorageLevel.DISK_ONLY,
     "MEMORY_ONLY": StorageLevel.MEMORY_ONLY,
@@ -48,16 +51,24 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def run_concurrently(actions: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent Spark actions (writes, materialisations) from one
+    driver thread each. Small jobs then fill idle cores instead of queueing
+    behind each other; large ones share the cluster. The first failure is
+    raised."""
+    if len(actions) <= 1:
+        return {k: fn() for k, fn in actions.items()}
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        futures = {k: pool.submit(fn) for k, fn in actions.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def materialize_all(frames: Mapping[str, DataFrame], prefix: str = "materialized"
                     ) -> dict[str, DataFrame]:
-    """``materialize`` several independent frames with concurrent jobs (one
-    driver thread each), so small writes do not queue behind each other and
-    large ones share the cluster."""
-    if len(frames) <= 1:
-        return {k: materialize(v, f"{prefix}-{k}") for k, v in frames.items()}
-    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-        futures = {k: pool.submit(materialize, v, f"{prefix}-{k}") for k, v in frames.items()}
-        return {k: f.result() for k, f in futures.items()}
+    """``materialize`` several independent frames with concurrent jobs."""
+    return run_concurrently(
+        {k: (lambda df=v, name=f"{prefix}-{k}": materialize(df, name)) for k, v in frames.items()}
+    )
 
 
 def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
