@@ -93,6 +93,9 @@ def test_scale_conf_sizes_partitions():
     assert int(small["spark.sql.shuffle.partitions"]) == 128  # two waves of cores
     mid = session.scale_conf(1 * tb, total_cores=200)
     assert int(mid["spark.sql.shuffle.partitions"]) == 2048
+    # large input: the advisory size drives coalescing; small: parallelism
+    assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert small["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "true"
 
 
 def test_hot_order_is_split_in_the_star_join(spark, tmp):

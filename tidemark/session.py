@@ -91,17 +91,20 @@ def scale_conf(
       partitions get larger instead (sort-based shuffle and aggregation
       spill, so a larger partition is slower, not fatal);
     * AQE coalesces small partitions toward half the reduce size and splits
-      join partitions skewed beyond twice it;
+      join partitions skewed beyond twice it; when the shuffle could not
+      fill every core at that size, AQE keeps parallelism first instead;
     * a static broadcast only for inputs estimated under 64 MB; larger
       conversions are left to AQE, which sees measured sizes.
     """
-    shuffle_parts = math.ceil(input_bytes * shuffle_blowup / reduce_bytes)
+    shuffle_bytes = input_bytes * shuffle_blowup
+    shuffle_parts = math.ceil(shuffle_bytes / reduce_bytes)
     shuffle_parts = max(2 * total_cores, min(max_shuffle_partitions, shuffle_parts))
+    fills_cores = shuffle_bytes >= (reduce_bytes // 2) * total_cores
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(shuffle_parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(reduce_bytes // 2),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": str(not fills_cores).lower(),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * reduce_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     }
