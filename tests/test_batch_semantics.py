@@ -220,3 +220,35 @@ def test_dense_rank_global_edge_inputs(spark):
     nulls = spark.createDataFrame([(1, None), (2, None)], "id int, v int")
     assert sorted((r.id, r.dense_rank) for r in W.dense_rank_global(nulls, "v").collect()) == [
         (1, 1), (2, 1)]
+
+
+def _brute_force_survivors(rows, n_keys):
+    """Smallest row per key, comparing order columns then the rest, nulls first."""
+    def rank(v):
+        return (0,) if v is None else (1, v)
+    best = {}
+    for r in rows:
+        k, rest = r[:n_keys], r[n_keys:]
+        if k not in best or tuple(map(rank, rest)) < tuple(map(rank, best[k][n_keys:])):
+            best[k] = r
+    return sorted(best.values(), key=lambda r: tuple(map(rank, r)))
+
+
+def test_dedup_survivor_matches_brute_force(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    small = st.one_of(st.none(), st.integers(0, 3))
+    row = st.tuples(small, st.integers(0, 2), small, st.one_of(st.none(), st.text("ab", max_size=2)))
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.lists(row, max_size=30))
+    def check(rows):
+        df = spark.createDataFrame(rows, "k1 int, k2 int, o int, s string")
+        got = C.dedup_keys(df, ["k1", "k2"], order_by=["o"]).collect()
+        def rank(v):
+            return (0,) if v is None else (1, v)
+        got = sorted((tuple(r) for r in got), key=lambda r: tuple(map(rank, r)))
+        assert got == _brute_force_survivors(rows, 2)
+
+    check()
