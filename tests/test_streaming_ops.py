@@ -196,3 +196,19 @@ def test_latest_state_keeps_newest_batch_per_key(spark):
         [("a", 1, 0), ("b", 5, 0), ("a", 3, 1), ("a", 4, 10)], "user string, count long, update_batch int")
     got = sorted((r.user, r["count"]) for r in K.latest_state(updates, ["user"]).collect())
     assert got == [("a", 4), ("b", 5)]
+
+
+def test_compacted_update_log_reads_the_same_state(spark, tmp):
+    log, snaps = f"{tmp}/log", f"{tmp}/snap"
+    batches = {0: [("a", 1), ("b", 1)], 1: [("a", 2)], 2: [("c", 1)]}
+    for b, rows in batches.items():
+        spark.createDataFrame(rows, "user string, count long").write.parquet(
+            f"{log}/update_batch={b}")
+    assert K.read_state(spark, log, ["user"], snaps).count() == 3  # no snapshot yet
+    assert K.compact_updates(spark.read.parquet(log), ["user"], snaps) == 2
+    spark.createDataFrame([("b", 5)], "user string, count long").write.parquet(
+        f"{log}/update_batch=3")
+    got = sorted((r.user, r["count"]) for r in K.read_state(spark, log, ["user"], snaps).collect())
+    full = sorted((r.user, r["count"]) for r in
+                  K.latest_state(spark.read.parquet(log), ["user"]).collect())
+    assert got == full == [("a", 2), ("b", 5), ("c", 1)]

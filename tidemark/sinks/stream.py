@@ -9,6 +9,8 @@ for tests only.
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -114,6 +116,47 @@ def latest_state(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     return newest.select(*keys, *rest)
 
 
+def compact_updates(updates: DataFrame, keys: Sequence[str], snapshot_path: str) -> int | None:
+    """Fold an update log once into a snapshot, so later reads need only the
+    batches after it. The snapshot is written to ``snapshot_path/upto=<B>``,
+    B being the newest batch folded (returned; one number reaches the driver).
+    Nothing is deleted: older batch folders are skipped by partition pruning
+    in ``read_state`` and left to the storage's retention policy."""
+    upto = updates.agg(F.max("update_batch")).first()[0]
+    if upto is None:
+        return None
+    state = latest_state(updates.where(F.col("update_batch") <= upto), keys)
+    state.withColumn("update_batch", F.lit(int(upto))).write.mode("overwrite").parquet(
+        f"{snapshot_path}/upto={int(upto)}")
+    return int(upto)
+
+
+def read_state(spark, updates_path: str, keys: Sequence[str],
+               snapshot_path: str | None = None) -> DataFrame:
+    """End state of an update log: the newest snapshot (if any) plus only
+    the batch folders written after it (pruned by the ``update_batch``
+    folder value), folded with ``latest_state``."""
+    updates = spark.read.parquet(updates_path)
+    upto = _newest_snapshot(spark, snapshot_path) if snapshot_path else None
+    if upto is None:
+        return latest_state(updates, keys)
+    snap = spark.read.parquet(f"{snapshot_path}/upto={upto}")
+    newer = updates.where(F.col("update_batch") > upto)
+    both = snap.withColumn("update_batch", F.col("update_batch").cast("int")).unionByName(
+        newer.withColumn("update_batch", F.col("update_batch").cast("int")))
+    return latest_state(both, keys)
+
+
+def _newest_snapshot(spark, snapshot_path: str) -> int | None:
+    """Largest ``upto=<B>`` folder, from the file listing (no data read)."""
+    try:
+        files = spark.read.parquet(snapshot_path).inputFiles()
+    except Exception:  # no snapshot written yet
+        return None
+    ids = [int(m.group(1)) for f in files if (m := re.search(r"/upto=(\d+)/", f))]
+    return max(ids) if ids else None
+
+
 def split_each_batch(
     valid_path: str, invalid_path: str, flag: str = "is_valid",
     project: Callable[[DataFrame], DataFrame] | None = None,
