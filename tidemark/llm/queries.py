@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import suffix_dedup
+from tidemark.llm import ngram_join, suffix_dedup
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,5 +26,9 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op1_suffix_dedup": op1_suffix_dedup}
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES: dict[str, Query] = {"op1_suffix_dedup": op1_suffix_dedup, "op8_ngram_join": op8_ngram_join}
 ORACLE: dict[str, str] = {}
