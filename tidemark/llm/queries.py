@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ngram_join, suffix_dedup
+from tidemark.llm import decontaminate, fingerprints, mixing, ngram_join, secrets, suffix_dedup
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +26,95 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times"
+    )
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15)) AS BIGINT) AS h
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS w
+      FROM d GROUP BY source),
+l AS (SELECT *, 3 * source_size < w * ((sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER p, 0))
+                  / (sum(w) OVER () - coalesce(sum(w) OVER p, 0.0))) AS capped
+      FROM s WINDOW p AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size,
+             CASE WHEN capped THEN CAST(3 * source_size AS DOUBLE)
+                  ELSE least(CAST(3 * source_size AS DOUBLE), w * ((sum(source_size) OVER () - sum(CASE WHEN capped THEN 3 * source_size ELSE 0 END) OVER ())
+                    / sum(CASE WHEN capped THEN 0.0 ELSE w END) OVER ())) END AS target FROM l),
+g AS (SELECT source, h, sum(size) AS words FROM d WHERE size > 0 GROUP BY source, h),
+c AS (SELECT g.source, g.h, g.words, sum(g.words) OVER (PARTITION BY g.source ORDER BY g.h) - g.words AS below,
+             t.target - floor(t.target / t.source_size) * t.source_size AS budget
+      FROM g JOIN t ON g.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT source, h, below + words <= budget OR (below <= budget AND below + words - budget <= budget - below) AS more FROM c)
+SELECT d.doc_id, d.size, t.source_size, t.target,
+       CAST(CASE WHEN d.size = 0 THEN 0 ELSE floor(t.target / t.source_size) + CAST(k.more AS INTEGER) END AS BIGINT) AS times,
+       CAST(d.size * CASE WHEN d.size = 0 THEN 0 ELSE floor(t.target / t.source_size) + CAST(k.more AS INTEGER) END AS BIGINT) AS taken
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source AND d.h = k.h
+"""
+
+
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text("sketch").alias("fingerprint"),
+        fingerprints.as_text("edited_sketch").alias("edited_fingerprint"),
+        fingerprints.resemblance("sketch", "edited_sketch").alias("near_edited"),
+        fingerprints.resemblance("sketch", "next_sketch").alias("near_next"),
+    )
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("rk")
+
+
+OP5_SQL = r"""
+WITH w AS (
+  SELECT 0 AS k, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+v AS (SELECT k, id, text, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM w),
+u AS (SELECT k, id, text, len(ws) AS nw, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM v),
+m AS (SELECT k, id, text, nw, i, concat_ws(' ', x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o) AS gram
+      FROM u WINDOW o AS (PARTITION BY k, id, text ORDER BY i)),
+g AS (SELECT DISTINCT k, id, text, gram FROM m WHERE i <= nw - 4 OR (nw < 5 AND i = 1)),
+n AS (SELECT id, count(*) AS n_item FROM g WHERE k = 1 GROUP BY id),
+p AS (SELECT d.id AS doc_id, b.id AS item_id, d.text, count(*) AS n_shared FROM g d JOIN g b ON d.k = 0 AND b.k = 1 AND d.gram = b.gram GROUP BY d.id, b.id, d.text)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM p JOIN n ON n.id = p.item_id WHERE 5 * n_shared >= 4 * n_item
+"""
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source is an owner; its languages are its repositories."""
+    found = secrets.scan(read(spark, sf_dir, "documents"), F.concat_ws("/", "source", "lang"), F.col("source"))
+    count = lambda test: F.size(F.filter("spans", test)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(lambda s, i=i: s["kind"] == i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS)],
+        F.sha2("base_joined", 256).alias("base_sha256"),
+        F.col("joined").alias("spans"),
+        count(lambda s: s["live"]).alias("n_live"),
+        count(lambda s: ~s["live"]).alias("n_copied"),
+    )
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES: dict[str, Query] = {"op1_suffix_dedup": op1_suffix_dedup, "op8_ngram_join": op8_ngram_join}
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_source_mixing": op2_source_mixing,
+    "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op8_ngram_join": op8_ngram_join,
+    "op9_secret_scan": op9_secret_scan,
+}
+ORACLE: dict[str, str] = {"op2_source_mixing": OP2_SQL, "op5_benchmark_decontamination": OP5_SQL}
