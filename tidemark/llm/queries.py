@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, mixing, ngram_join, secrets, suffix_dedup
+from tidemark.llm import decontaminate, fingerprints, mixing, ngram_join, quality, secrets, suffix_dedup, token_files
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,9 +95,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source is an owner; its languages are its repositories."""
     found = secrets.scan(read(spark, sf_dir, "documents"), F.concat_ws("/", "source", "lang"), F.col("source"))
     count = lambda test: F.size(F.filter("spans", test)).cast("long")
+    of_kind = lambda i: count(lambda s: s["kind"] == i)
     return found.select(
         "doc_id",
-        *[count(lambda s, i=i: s["kind"] == i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS)],
+        *[of_kind(i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS)],
         F.sha2("base_joined", 256).alias("base_sha256"),
         F.col("joined").alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),
@@ -109,12 +110,30 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.token_folder(spark)
+    manifest = token_files.write_tokens(read(spark, sf_dir, "documents"), folder, tokenizer_path())
+    return token_files.read_digests(manifest, folder)
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_source_mixing": op2_source_mixing,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op8_ngram_join": op8_ngram_join,
     "op9_secret_scan": op9_secret_scan,
+    "op10_token_output": op10_token_output,
 }
 ORACLE: dict[str, str] = {"op2_source_mixing": OP2_SQL, "op5_benchmark_decontamination": OP5_SQL}
