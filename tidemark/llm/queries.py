@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, mixing, ngram_join, quality, secrets, suffix_dedup, token_files
+from tidemark.llm import decontaminate, fingerprints, mixing, ngram_join, quality, revisits, secrets, suffix_dedup, token_counts, token_files
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +120,25 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+#: What a clean-up job replaces: long numbers, long hexadecimal strings, mail addresses.
+REDACTED = r"[0-9a-f]{24,}|[0-9]{4,}|[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+"
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after redaction."""
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return token_counts.edited_counts(
+        docs, token_counts.redactions("text", REDACTED, "[X]"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_text=False
+    ).drop("edited")
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = revisits.resolve(revisits.records_of_pages(read(spark, sf_dir, "pages")))
+    return out.withColumn("headers", F.to_json(F.array_sort(F.map_entries("headers"))))
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.token_folder(spark)
     manifest = token_files.write_tokens(read(spark, sf_dir, "documents"), folder, tokenizer_path())
@@ -132,6 +151,8 @@ QUERIES: dict[str, Query] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_token_counts": op6_token_counts,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_ngram_join": op8_ngram_join,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_output": op10_token_output,

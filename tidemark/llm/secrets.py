@@ -35,7 +35,7 @@ MAX_OWNERS = 1
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
-def _spans(text: str, pattern: str, kind: int, group: int = 0) -> Column:
+def pattern_spans(text: str, pattern: str, kind: int, group: int = 0) -> Column:
     """Matches of ``pattern`` as (start, kind, end, hash of the value)."""
     lit = F.lit(pattern)
     found = F.regexp_extract_all(text, lit, F.lit(0))
@@ -76,11 +76,11 @@ def scan(docs: DataFrame, repository: Column, owner: Column, id_col: str = "doc_
         row_key(id_col, text_col).alias("rk"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
         repository.cast("string").alias("repo"), owner.cast("string").alias("owner"),
     )
-    assign = F.filter(_spans("t", ASSIGN, 0, 2), lambda s: F.length(s["value"]) >= 6)
-    mixed = F.filter(_spans("t", CANDIDATE, 3), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
+    assign = F.filter(pattern_spans("t", ASSIGN, 0, 2), lambda s: F.length(s["value"]) >= 6)
+    mixed = F.filter(pattern_spans("t", CANDIDATE, 3), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
     found = texts.select(
         "rk", "doc_id", "repo", "owner",
-        _hashed(F.concat(assign, _spans("t", ACCESS, 1), _spans("t", HEX, 2))).alias("base"), _hashed(mixed).alias("other"),
+        _hashed(F.concat(assign, pattern_spans("t", ACCESS, 1), pattern_spans("t", HEX, 2))).alias("base"), _hashed(mixed).alias("other"),
     )
     found = found.withColumn(
         "other", F.filter("other", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
