@@ -20,9 +20,11 @@ Each case finds every pair that it must, so no link is lost; all candidates are
 then verified on the whole sets.
 
 Equal sets are one class, whatever their number. What a document needs is its
-component, so classes that share a key are first compared with a few common
-partners; pairs whose ends are then already in one component need no comparison,
-and every other pair that shares a key is compared.
+component, so not all pairs of a group are listed: the sets of a key are first
+compared with two common partners, and then only pairs that aren't in one
+component yet, in blocks. These comparisons use parity digests, which can only
+underrate a difference; what passes is verified on the whole sets, and if a pair
+fails there, what had rested on it is compared again without such shortcuts.
 
 Shingles are compared by 64-bit hashes. Null or empty text: an empty set, linked
 with nothing, its component is its own id. A null id links like any other and is
@@ -111,61 +113,225 @@ def keys_of(own: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> tupl
     return np.concatenate(owners), np.concatenate(keys)
 
 
-def _lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.ListArray:
-    ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=n))].astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
+def _index(width: int):
+    """One row per text: size and 64-bit identifier of its set."""
 
-
-def _index(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for batch, texts in each_buffer(batches):
             own, h = shingles(rolling, texts, width)
             n = np.bincount(own, minlength=len(texts))
-            one, two = np.zeros(len(texts), U64), np.zeros(len(texts), U64)
-            np.add.at(one, own, mix(h + U64(1)))
-            np.add.at(two, own, mix(h ^ U64(0xA5A5A5A5)))
-            who, keys = keys_of(own, h, n, percent)
-            order = np.argsort(who, kind="stable")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rk"), batch.column("doc_id"), pa.array(n), pa.array(mix2(one, two + n.astype(U64)).view(np.int64)), _lists(keys[order], who[order], len(texts))],
-                names=["rk", "doc_id", "n", "sid", "keys"],
+                [batch.column("rk"), batch.column("doc_id"), pa.array(n), pa.array(_set_ids(own, h, n))], names=["rk", "doc_id", "n", "sid"]
             )
 
     return run
 
 
+def _set_ids(own: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    one, two = np.zeros(len(n), U64), np.zeros(len(n), U64)
+    np.add.at(one, own, mix(h + U64(1)))
+    np.add.at(two, own, mix(h ^ U64(0xA5A5A5A5)))
+    return mix2(one, two + n.astype(U64)).view(np.int64)
+
+
+def _keys(width: int, percent: int, remember: int = 100_000):
+    """Flat (set, key) rows. Copies of a set that a task has just listed are
+    not listed again, so a group of copies gives a few rows for each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling, seen = Rolling(), set()
+        for _, texts in each_buffer(batches):
+            own, h = shingles(rolling, texts, width)
+            n = np.bincount(own, minlength=len(texts))
+            sid = _set_ids(own, h, n)
+            fresh = np.zeros(len(n), bool)
+            for i, x in enumerate(sid.tolist()):
+                if x not in seen:
+                    fresh[i] = True
+                    if len(seen) >= remember:
+                        seen.clear()
+                    seen.add(x)
+            keep = fresh[own]
+            who, keys = keys_of(own[keep], h[keep], np.where(fresh, n, 0), percent)
+            yield pa.RecordBatch.from_arrays([pa.array(sid[who]), pa.array(keys.view(np.int64))], names=["sid", "key"])
+
+    return run
+
+
+def _digest_bits(n: int) -> int:
+    return max(64, 1 << (4 * n - 1).bit_length())
+
+
+def _digests(width: int):
+    """One parity bit for each of 4 to 8 slots an element: two sets differ in
+    at least as many elements as their digests differ in bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling = Rolling()
+        for batch, texts in each_buffer(batches):
+            own, h = shingles(rolling, texts, width)
+            n = np.bincount(own, minlength=len(texts))
+            ends = np.r_[0, np.cumsum(n)]
+            out = []
+            for i in range(len(texts)):
+                slots = np.bincount((h[ends[i] : ends[i + 1]] >> U64(24) & U64(_digest_bits(int(n[i])) - 1)).astype(np.int64), minlength=_digest_bits(int(n[i])))
+                out.append(np.packbits(slots & 1).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array(n), pa.array(out, pa.binary())], names=["sid", "n", "digest"])
+
+    return run
+
+
+def _folded(digests: list[bytes]) -> np.ndarray:
+    """Digests as rows of one width: the longer ones are folded onto themselves."""
+    width = min(map(len, digests))
+    rows = []
+    for d in digests:
+        x = np.frombuffer(d, U64)
+        while len(x) * 8 > width:
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        rows.append(x)
+    return np.stack(rows)
+
+
+def _may_link(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
+    least = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+    near = least * (100 + percent) <= (nx + ny) * (100 - percent)
+    return near & (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny))
+
+
+def _near_pairs(percent: int):
+    """Those of the pairs whose digests leave a link possible."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column("dx").to_pylist(), batch.column("dy").to_pylist()
+            nx, ny = batch.column("nx").to_numpy(), batch.column("ny").to_numpy()
+            keep = np.zeros(len(x), bool)
+            for i in range(len(x)):
+                pair = _folded([x[i], y[i]])
+                keep[i] = _may_link(pair[0], nx[i], pair[1], ny[i], percent)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
+
+    return run
+
+
+def _cell_pairs(percent: int, join_on_the_way: bool):
+    """Pairs of one cell (a key's sets, or two blocks of them) with different
+    labels whose digests leave a link possible. With ``join_on_the_way`` a pair
+    found makes its two labels one, so a group gives fewer pairs than sets."""
+
+    def cell(sid: list, salt: list, labels: list, n: list, digests: list) -> Iterator[tuple[int, int]]:
+        label = np.unique(np.array(labels), return_inverse=True)[1]
+        if label.max() == 0:
+            return
+        salt, n, rows = np.array(salt), np.array(n), _folded(digests)
+        both = salt.min() != salt.max()
+        for i in range(len(sid) - 1):
+            other = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+            if both:
+                other = other[salt[other] != salt[i]]
+            if not len(other):
+                continue
+            for j in other[_may_link(rows[i], n[i], rows[other], n[other], percent)]:
+                if not join_on_the_way:
+                    yield sid[i], sid[j]
+                elif label[j] != label[i]:
+                    yield sid[i], sid[j]
+                    label[label == label[j]] = label[i]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, columns = None, None
+        for batch in batches:
+            out = []
+            names = [batch.column(c).to_pylist() for c in ("key", "cell", "sid", "salt", "label", "n", "digest")]
+            for key, place, *row in zip(*names):
+                if (key, place) != now:
+                    if columns and len(columns[0]) > 1:
+                        out += cell(*columns)
+                    now, columns = (key, place), [[], [], [], [], []]
+                for c, v in zip(columns, row):
+                    c.append(v)
+            yield _pairs_batch(out)
+        if columns and len(columns[0]) > 1:
+            yield _pairs_batch(list(cell(*columns)))
+
+    return run
+
+
+def _pairs_batch(pairs: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())], names=["a", "b"])
+
+
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for batch, texts in each_buffer(batches):
             own, h = shingles(rolling, texts, width)
-            yield pa.RecordBatch.from_arrays([batch.column("sid"), _lists(h, own, len(texts))], names=["sid", "items"])
+            ends = np.r_[0, np.cumsum(np.bincount(own, minlength=len(texts)))].astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("sid"), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], names=["sid", "items"]
+            )
 
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs (a, b)`` that are similar, counted on the whole sets."""
-    left = sets.select(F.col("sid").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("sid").alias("b"), F.col("items").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
-    sizes = F.size("x") + F.size("y")
-    common = F.size(F.array_intersect("x", "y"))
-    near = (F.least(F.size("x"), F.size("y")) * 100 >= F.greatest(F.size("x"), F.size("y")) * percent) & (
-        common * (100 + percent) >= sizes * percent
-    )
-    return both.where(near).select("a", "b")
+class _Corpus:
+    """The texts of one document of each set, for what needs whole sets."""
+
+    def __init__(self, texts: DataFrame, index: DataFrame, width: int, percent: int):
+        self.texts, self.width, self.percent = texts, width, percent
+        self.one = index.where("n > 0").groupBy("sid").agg(F.min("rk").alias("rk"))
+
+    def of(self, sids: DataFrame) -> DataFrame:
+        chosen = sids.distinct().join(self.one, "sid")
+        return self.texts.join(chosen, "rk").dropDuplicates(["sid"]).select("sid", "text")
+
+    def digests(self, sids: DataFrame) -> DataFrame:
+        return materialize(self.of(sids).mapInArrow(_digests(self.width), "sid long, n long, digest binary"), "ngram-digests")
 
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """``pairs (a, b)`` with ``linked``, counted on the whole sets."""
+        ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b"))
+        sets = materialize(self.of(ends).mapInArrow(_sets(self.width), "sid long, items array<long>"), "ngram-sets")
+        left = sets.select(F.col("sid").alias("a"), F.col("items").alias("x"))
+        right = sets.select(F.col("sid").alias("b"), F.col("items").alias("y"))
+        common = F.size(F.array_intersect("x", "y"))
+        linked = common * (100 + self.percent) >= (F.size("x") + F.size("y")) * self.percent
+        return materialize(
+            pairs.join(left, "a").join(right, "b").select("a", "b", linked.alias("linked")), "ngram-verified"
+        )
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Those of ``pairs (a, b)`` whose ends aren't in one component yet."""
-    la = labels.select(F.col("id").alias("a"), F.col("label").alias("la"))
-    lb = labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
+
+def _near(pairs: DataFrame, digests: DataFrame, percent: int) -> DataFrame:
+    left = digests.select(F.col("sid").alias("a"), F.col("n").alias("nx"), F.col("digest").alias("dx"))
+    right = digests.select(F.col("sid").alias("b"), F.col("n").alias("ny"), F.col("digest").alias("dy"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "nx", "ny", "dx", "dy").mapInArrow(_near_pairs(percent), "a long, b long")
+
+
+#: Sets of a key that one task compares at once; larger groups are dealt in blocks.
+BLOCK = 4096
+
+
+def _still_apart(keys: DataFrame, labels: DataFrame, digests: DataFrame, percent: int, join_on_the_way: bool) -> DataFrame:
+    """Pairs that share a key, aren't in one component and may be linked."""
+    of = labels.select(F.col("id").alias("sid"), "label")
+    at = keys.select("sid", "key").join(of, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    mixed = (
+        at.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("size"))
+        .where("l0 != l1").select("key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    )
+    rows = (
+        at.join(mixed, "key")
+        .withColumn("salt", F.pmod(F.xxhash64("sid"), "blocks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn("cell", F.least("salt", "other") * F.col("blocks") + F.greatest("salt", "other"))
+        .join(digests, "sid")
+    )
     return (
-        pairs.join(la, "a", "left").join(lb, "b", "left")
-        .where("coalesce(la, a) != coalesce(lb, b)")
-        .select("a", "b")
+        rows.select("key", "cell", "sid", "salt", "label", "n", "digest")
+        .repartition("key", "cell").sortWithinPartitions("key", "cell", "sid")
+        .mapInArrow(_cell_pairs(percent, join_on_the_way), "a long, b long").distinct()
     )
 
 
@@ -175,33 +341,30 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     similarity ``percent`` / 100 or more, the row's own included."""
     texts = keyed(docs, id_col, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
-    index = materialize(
-        texts.mapInArrow(_index(width, percent), f"rk long, doc_id {id_type}, n long, sid long, keys array<long>"), "ngram-index"
-    )
-    named = index.where("n > 0")
+    index = materialize(texts.mapInArrow(_index(width), f"rk long, doc_id {id_type}, n long, sid long"), "ngram-index")
+    corpus = _Corpus(texts, index, width, percent)
     keys = materialize(
-        named.select("sid", "keys").dropDuplicates(["sid"]).select("sid", F.explode("keys").alias("key"))
-        .distinct()
+        texts.select("rk", "text").mapInArrow(_keys(width, percent), "sid long, key long")
         .selectExpr("sid", "key", "min(sid) OVER (PARTITION BY key) AS least", "max(sid) OVER (PARTITION BY key) AS most")
-        .where("least != most"),
+        .where("least != most").distinct(),
         "ngram-keys",
     )
-    stars = materialize(
-        keys.where("sid != least").select(F.col("sid").alias("a"), F.col("least").alias("b"))
-        .union(keys.where("sid != most").select(F.col("sid").alias("a"), F.col("most").alias("b")))
-        .groupBy("a", "b").agg(F.count("*").alias("shared")),
-        "ngram-stars",
+    digests = corpus.digests(keys.select("sid"))
+    stars = (
+        keys.where("sid != least").selectExpr("least AS a", "sid AS b")
+        .union(keys.where("sid != most").selectExpr("sid AS a", "most AS b")).distinct()
     )
-    wanted = keys.select("sid").distinct().join(named.select("sid", "rk").dropDuplicates(["sid"]), "sid")
-    sets = materialize(
-        texts.join(wanted, "rk").dropDuplicates(["sid"]).select("sid", "text").mapInArrow(_sets(width), "sid long, items array<long>"), "ngram-sets"
-    )
-    best = stars.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("s")).select("a", "s.b")
-    edges = materialize(_verified(best, sets, percent), "ngram-edges")
-    labels = connected_components(edges)
-    edges = materialize(edges.union(_verified(_apart(stars.select("a", "b"), labels), sets, percent)), "ngram-edges")
+    likely = materialize(_near(stars, digests, percent), "ngram-likely")
+    labels = connected_components(likely)
+    likely = materialize(likely.union(_still_apart(keys, labels, digests, percent, True)).distinct(), "ngram-likely")
+    tried = corpus.verified(likely)
+    edges = tried.where("linked").select("a", "b")
     labels = connected_components(edges)
-    labels = _rest(keys, stars, sets, edges, labels, percent)
+    if not tried.where("NOT linked").isEmpty():
+        # a pair that digests let pass was no link: nothing may rest on it
+        left = materialize(_still_apart(keys, labels, digests, percent, False), "ngram-left")
+        more = corpus.verified(left.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
+        labels = connected_components(edges.union(more.where("linked").select("a", "b")))
     found = labels.select(F.col("id").alias("sid"), "label")
     labelled = index.select("rk", "doc_id", "n", "sid").join(found, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     least = labelled.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
@@ -212,17 +375,3 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
-
-def _rest(keys, stars, sets, edges, labels, percent):
-    """Compare every pair that shares a key and is still apart."""
-    of = labels.select(F.col("id").alias("sid"), "label")
-    at = keys.select("sid", "key").join(of, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    mixed = at.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 != l1").select("key")
-    left = materialize(at.join(mixed, "key"), "ngram-mixed")
-    other = left.select("key", F.col("sid").alias("b"), F.col("label").alias("lb"))
-    pairs = (
-        left.withColumnRenamed("sid", "a").join(other, "key").where("a < b AND label != lb").select("a", "b").distinct()
-    )
-    tried = stars.select("a", "b").union(stars.select(F.col("b"), F.col("a")))
-    more = materialize(_verified(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent), "ngram-edges")
-    return labels if more.isEmpty() else connected_components(edges.union(more))
