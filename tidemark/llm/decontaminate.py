@@ -12,7 +12,7 @@ Candidates are verified on the shingles themselves.
 
 Words are split at ASCII white space, A-Z folded. An item or a document of fewer
 than five words is one shingle; without words it has none and matches nothing.
-Null ids are kept. Repeated documents each give their rows; equal items too.
+Null ids are kept. Repeats of a document or an item (equal id and text) count once.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from tidemark.operators.control import materialize
 
 WIDTH = 5
 CONTAINMENT = 0.8
-#: Signatures of up to this many entries (16 bytes each) are broadcast; more are shuffled.
-BROADCAST_ROWS = 500_000
+#: Benchmarks of up to this many shingles (some 60 bytes each) are broadcast; larger ones are shuffled.
+BROADCAST_SHINGLES = 500_000
 
 
 def _signatures(items: DataFrame, containment: float) -> DataFrame:
@@ -45,30 +45,37 @@ def contained_items(
     """``(rk, doc id, item id, n_shared, n_item, containment)`` of every
     document and item with that containment or more; ``rk`` is the document's
     ``common.row_key``. One row for each distinct (id, text) of a document and
-    for each row of the benchmark."""
+    of a benchmark item."""
     items = with_words(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")), "text", "words", fold=True)
     items = with_strings(with_hashes(items, "words", "hashes", width), "words", "grams", width)
     items = materialize(
-        items.select("item_id", F.xxhash64("item_id", "text").alias("item"), "hashes", "grams"), "benchmark-items"
+        items.select("item_id", F.xxhash64("item_id", "text").alias("item"), "hashes", "grams").dropDuplicates(["item"]), "benchmark-items"
     )
     probes = materialize(_signatures(items, containment).distinct(), "benchmark-signatures")
-    probe = F.broadcast(probes) if probes.count() <= BROADCAST_ROWS else probes
+    grams = items.select("item", "item_id", F.col("grams").alias("item_grams"))
     texts = keyed(docs, id_col, text_col)
-    hashed = with_hashes(with_words(texts.select("rk", "text"), "text", "words", fold=True), "words", "hashes", width)
+    worded = with_words(texts, "text", "words", fold=True)
     # explode_outer: a plain explode would push a test of the array's size below
     # the shingling, and evaluate the words again for every shingle
-    pairs = materialize(hashed.select("rk", F.explode_outer("hashes").alias("h")).join(probe, "h").select("rk", "item").distinct(), "contained-candidates")
-    wanted = pairs.groupBy("rk").agg(F.collect_set("item").alias("items"))
-    whole = texts.join(wanted, "rk").dropDuplicates(["rk"])
-    whole = with_strings(with_words(whole, "text", "words", fold=True), "words", "grams", width)
-    whole = whole.select("rk", "doc_id", "grams", F.explode("items").alias("item"))
-    grams = items.select("item", "item_id", F.col("grams").alias("item_grams"))
+    hashed = with_hashes(worded, "words", "hashes", width)
+    if (items.agg(F.sum(F.size("grams"))).first()[0] or 0) <= BROADCAST_SHINGLES:
+        # one scan: a document's words stay with its candidates, nothing is shuffled but results
+        found = hashed.select("rk", "doc_id", "words", F.explode_outer("hashes").alias("h")).join(F.broadcast(probes), "h")
+        whole = with_strings(found.join(F.broadcast(grams), "item"), "words", "grams", width)
+    else:
+        pairs = materialize(hashed.select("rk", F.explode_outer("hashes").alias("h")).join(probes, "h").select("rk", "item").distinct(), "contained-candidates")
+        wanted = pairs.groupBy("rk").agg(F.collect_set("item").alias("items"))
+        listed = with_strings(worded.join(wanted, "rk").dropDuplicates(["rk"]), "words", "grams", width)
+        whole = listed.select("rk", "doc_id", "grams", F.explode("items").alias("item")).join(grams, "item")
     shared = F.size(F.array_intersect("grams", "item_grams"))
     return (
-        whole.join(grams, "item")
-        .select("rk", F.col("doc_id").alias(id_col), F.col("item_id").alias(item_col), shared.cast("long").alias("n_shared"), F.size("item_grams").cast("long").alias("n_item"))
+        whole.select(
+            "rk", F.col("doc_id").alias(id_col), "item", F.col("item_id").alias(item_col),
+            shared.cast("long").alias("n_shared"), F.size("item_grams").cast("long").alias("n_item"),
+        )
         .withColumn("containment", F.col("n_shared") / F.col("n_item"))
         .where(F.col("n_shared") >= F.col("n_item") * containment - 1e-9)
+        .distinct().drop("item")
     )
 
 
