@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -39,13 +40,13 @@ LEAF = 64
 class Counter:
     """Pre-token cuts and the number of tokens of a pre-token, cached."""
 
-    def __init__(self, ranks_path: str, pattern: str, cache: int = 500_000):
+    def __init__(self, ranks_path: str, pattern: str, most: int = 500_000):
         import tiktoken
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.pattern, self.known, self.most = regex.compile(pattern), {}, cache
+        self.pattern, self.known, self.most = regex.compile(pattern), {}, most
 
     def cut(self, text: str) -> list[str]:
         return self.pattern.findall(text)
@@ -62,6 +63,12 @@ class Counter:
         return list(map(known.__getitem__, pieces))
 
 
+@cache
+def counter_of(ranks_path: str, pattern: str) -> Counter:
+    """One counter for a Python worker: later tasks start with its cache."""
+    return Counter(ranks_path, pattern)
+
+
 class TokenTree:
     """Pre-tokens of one text in leaves under a heap of sums."""
 
@@ -155,7 +162,7 @@ class TokenTree:
 
 def _counted(ranks_path: str, pattern: str, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(ranks_path, pattern)
+        counter = counter_of(ranks_path, pattern)
         for batch in batches:
             out: dict[str, list] = {"n_tokens": [], "n_edits": [], "n_tokens_edited": [], "n_reencoded": [], "edited": []}
             for text, edits in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist()):

@@ -25,6 +25,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -127,11 +128,11 @@ class Encoder:
 
     _MARKS = ".,;:!?|#%$&*"
 
-    def __init__(self, path: str, cache: int = 400_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache, self.most = {}, cache
+        self.cache, self.most = {}, most
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.encode = lambda chunks: [e.ids for e in encode(chunks, add_special_tokens=False)]
 
@@ -166,6 +167,12 @@ class Encoder:
             yield np.array(ids, np.uint32)
 
 
+@cache
+def encoder_of(path: str) -> Encoder:
+    """One encoder for a Python worker: later tasks start with its cache."""
+    return Encoder(path)
+
+
 def _groups(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
     group, size = [], 0
     for t in texts:
@@ -186,7 +193,7 @@ def _write(folder: str, vocabulary: str, end_id: int, id_bytes: int):
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = Encoder(vocabulary)
+                encoder = encoder_of(vocabulary)
                 fs, path = pafs.FileSystem.from_uri(folder)
                 name = f"{path}/{uuid.uuid4().hex}.tokens"
                 fs.create_dir(path, recursive=True)
