@@ -201,7 +201,7 @@ def fit(features: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_co
         .orderBy(F.xxhash64("rk", "y"), "rk").limit(max_train).select("x", "y").toArrow()
     )
     y = rows.column("y").to_numpy()
-    x = np.array(rows.column("x").to_pylist(), np.float32).reshape(len(y), -1)
+    x = np.array(rows.column("x").to_pylist(), np.float32).reshape(len(y), len(FEATURES))
     return Trees.fit(x, y)
 
 
