@@ -252,3 +252,27 @@ def test_dedup_survivor_matches_brute_force(spark):
         assert got == _brute_force_survivors(rows, 2)
 
     check()
+
+
+def test_top_n_keeps_a_null_value(spark):
+    from tidemark.operators import windows
+
+    df = spark.createDataFrame([(5,), (3,), (None,)], "v int")
+    got = {(r.v, r.dense_rank) for r in windows.dense_rank_top_n(df, "v", 3).collect()}
+    assert got == {(5, 1), (3, 2), (None, 3)}
+
+
+def test_money_keeps_sub_cent_values(spark):
+    from tidemark.functions import scalar
+
+    df = spark.createDataFrame([(0.004,)] * 3, "v double")
+    row = df.agg(scalar.money_sum("v").alias("s"), scalar.money_avg("v").alias("a")).first()
+    assert (row.s, row.a) == (0.012, 0.004)
+
+
+def test_ordered_replay_keeps_rows_without_an_order_value(spark, tmp):
+    from tidemark.streaming import replay
+
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "t int")
+    replay.write_ordered_files(df, f"{tmp}/out", "t", 2)
+    assert spark.read.schema("t int").json(f"{tmp}/out").count() == 4

@@ -212,3 +212,14 @@ def test_compacted_update_log_reads_the_same_state(spark, tmp):
     full = sorted((r.user, r["count"]) for r in
                   K.latest_state(spark.read.parquet(log), ["user"]).collect())
     assert got == full == [("a", 2), ("b", 5), ("c", 1)]
+
+
+def test_compaction_keeps_keys_of_retired_batches(spark, tmp):
+    log, snaps = f"{tmp}/log", f"{tmp}/snap"
+    old = spark.createDataFrame([("x", 1, 0), ("y", 1, 1)], "user string, count long, update_batch int")
+    assert K.compact_updates(old, ["user"], snaps) == 1
+    # the folders of batches 0 and 1 are gone; only batch 2 is left
+    spark.createDataFrame([("z", 1)], "user string, count long").write.parquet(f"{log}/update_batch=2")
+    assert K.compact_updates(spark.read.parquet(log), ["user"], snaps) == 2
+    got = {r.user for r in K.read_state(spark, log, ["user"], snaps).collect()}
+    assert got == {"x", "y", "z"}

@@ -113,16 +113,20 @@ def dense_rank_top_n(
     Only the n best distinct values are ranked (a bounded set), then
     broadcast back: no global sort of all rows. The input is read twice (for
     the n values and for the rows that carry them), so by default it is
-    materialised once.
+    materialised once. A null is a value like any other, ranked where the sort
+    order puts it (last when descending).
     """
     if materialize:
         df = control.materialize(df, "top-n-input")
-    order = F.col(value).desc() if descending else F.col(value).asc()
+
+    def order_of(c: str):
+        return F.col(c).desc() if descending else F.col(c).asc()
+
     best = (
-        df.select(value).where(F.col(value).isNotNull()).distinct().orderBy(order).limit(n)
+        df.select(F.col(value).alias("_best")).distinct().orderBy(order_of("_best")).limit(n)
     )
-    best = best.withColumn(rank_col, F.dense_rank().over(Window.orderBy(order)))
-    return df.join(F.broadcast(best), on=value, how="inner")
+    best = best.withColumn(rank_col, F.dense_rank().over(Window.orderBy(order_of("_best"))))
+    return df.join(F.broadcast(best), F.col(value).eqNullSafe(F.col("_best"))).drop("_best")
 
 
 def running_total(

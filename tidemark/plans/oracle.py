@@ -2,21 +2,19 @@
 
 The CTEs restate the logical-model mapping and the cleaning rules of
 ``tidemark.plans.retail`` independently, in SQL, over the raw test tables.
-Money sums go through DECIMAL(18,2) and means are rounded half-up to cents
-with integer arithmetic, so both engines produce identical doubles.
+Money sums go through DECIMAL(28,6) and a mean is that sum over the count, so
+both engines produce identical doubles.
 """
 
 from __future__ import annotations
 
 
 def money_sum(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def money_avg(x: str) -> str:
-    cents = f"CAST(CAST({x} AS DECIMAL(18,2)) * 100 AS BIGINT)"
-    n = f"COUNT({x})"
-    return f"(CAST((2 * SUM({cents}) + {n}) // (2 * {n}) AS DOUBLE) / 100)"
+    return f"({money_sum(x)} / COUNT({x}))"
 
 
 USERS_CTE = """

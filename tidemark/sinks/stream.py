@@ -9,10 +9,10 @@ for tests only.
 
 from __future__ import annotations
 
-import re
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -120,12 +120,17 @@ def compact_updates(updates: DataFrame, keys: Sequence[str], snapshot_path: str)
     """Fold an update log once into a snapshot, so later reads need only the
     batches after it. The snapshot is written to ``snapshot_path/upto=<B>``,
     B being the newest batch folded (returned; one number reaches the driver).
-    Nothing is deleted: older batch folders are skipped by partition pruning
+    It starts from the newest snapshot there, so batch folders that a snapshot
+    covers are not read again and may be retired. Nothing is deleted: older batch folders are skipped by partition pruning
     in ``read_state`` and left to the storage's retention policy."""
-    upto = updates.agg(F.max("update_batch")).first()[0]
+    spark = updates.sparkSession
+    before = _newest_snapshot(spark, snapshot_path)
+    newer = updates if before is None else updates.where(F.col("update_batch") > before)
+    upto = newer.agg(F.max("update_batch")).first()[0]
     if upto is None:
-        return None
-    state = latest_state(updates.where(F.col("update_batch") <= upto), keys)
+        return before
+    newer = newer.where(F.col("update_batch") <= upto)
+    state = latest_state(newer if before is None else _on_snapshot(spark, snapshot_path, before, newer), keys)
     state.withColumn("update_batch", F.lit(int(upto))).write.mode("overwrite").parquet(
         f"{snapshot_path}/upto={int(upto)}")
     return int(upto)
@@ -140,21 +145,27 @@ def read_state(spark, updates_path: str, keys: Sequence[str],
     upto = _newest_snapshot(spark, snapshot_path) if snapshot_path else None
     if upto is None:
         return latest_state(updates, keys)
+    return latest_state(_on_snapshot(spark, snapshot_path, upto, updates.where(F.col("update_batch") > upto)), keys)
+
+
+def _on_snapshot(spark, snapshot_path: str, upto: int, newer: DataFrame) -> DataFrame:
     snap = spark.read.parquet(f"{snapshot_path}/upto={upto}")
-    newer = updates.where(F.col("update_batch") > upto)
-    both = snap.withColumn("update_batch", F.col("update_batch").cast("int")).unionByName(
+    return snap.withColumn("update_batch", F.col("update_batch").cast("int")).unionByName(
         newer.withColumn("update_batch", F.col("update_batch").cast("int")))
-    return latest_state(both, keys)
 
 
 def _newest_snapshot(spark, snapshot_path: str) -> int | None:
-    """Largest ``upto=<B>`` folder, from the file listing (no data read)."""
+    """Largest ``upto=<B>`` folder with committed files; one number reaches the
+    driver. Only a missing folder means that there is no snapshot: any other
+    error is raised."""
     try:
-        files = spark.read.parquet(snapshot_path).inputFiles()
-    except Exception:  # no snapshot written yet
-        return None
-    ids = [int(m.group(1)) for f in files if (m := re.search(r"/upto=(\d+)/", f))]
-    return max(ids) if ids else None
+        snapshots = spark.read.parquet(snapshot_path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    newest = snapshots.agg(F.max("upto")).first()[0]
+    return None if newest is None else int(newest)
 
 
 def split_each_batch(

@@ -41,6 +41,8 @@ def write_ordered_files(
             cond = cond & (col >= F.lit(lo))
         if hi is not None:
             cond = cond & (col < F.lit(hi))
+        if lo is None:  # rows without an order value come first
+            cond = cond | col.isNull()
         writer = df.where(cond).write.mode("append").format(fmt)
         for k, v in (options or {}).items():
             writer = writer.option(k, v)
