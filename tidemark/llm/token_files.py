@@ -200,11 +200,10 @@ def _write(folder: str, vocabulary: str, end_id: int, id_bytes: int):
                 sink = fs.open_output_stream(name)
                 writer = FrameWriter(sink, id_bytes)
                 first = batch.column("part")[0].as_py()
-            ids = []
+            doc_ids = iter(batch.column("doc_id").to_pylist())
             for group in _groups(batch.column("text").to_pylist()):
-                ids.extend(encoder(group))
-            for x, doc_id in zip(ids, batch.column("doc_id").to_pylist()):
-                writer.add(np.append(x, np.uint32(end_id)), doc_id)
+                for x in encoder(group):
+                    writer.add(np.append(x, np.uint32(end_id)), next(doc_ids))
         if writer is not None:
             writer.finish()
             sink.close()
