@@ -260,8 +260,8 @@ def agg_count(spark, sf_dir):
     "agg_cube",
     """
 SELECT gt, "User", avg("Index") AS "avg_Index", avg("User") AS "avg_User",
-       CAST((2 * SUM(CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT)) * 10000 + COUNT(value))
-            // (2 * COUNT(value)) AS DOUBLE) / 1000000 AS avg_value,
+       CAST((2 * SUM(CAST(CAST(value AS DECIMAL(28,6)) * 1000000 AS BIGINT)) * 10000 + COUNT(value))
+            // (2 * COUNT(value)) AS DOUBLE) / 10000000000 AS avg_value,
        CAST(GROUPING(gt) * 2 + GROUPING("User") AS BIGINT) AS grouping_id
 FROM (SELECT event_id AS "Index", user_id AS "User", event_type AS gt, value FROM events)
 GROUP BY CUBE (gt, "User")""",
