@@ -11,9 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.sinks import stream as K
-from tidemark.sources.stream import stream_files
+from tidemark.sources.stream import ENVELOPE_SCHEMA, read_envelope_files, stream_files
 from tidemark.streaming import events as E
 from tidemark.streaming import runner
+from tidemark.streaming import transactions as TX
 
 BATCHES = [
     [("a", "00:00:10", 1), ("b", "00:10:00", 2)],
@@ -109,3 +110,40 @@ def test_throttle_one_file_per_batch(spark, tmp, source):
     q = K.start_files(source, f"{tmp}/out", f"{tmp}/ckpt", trigger=runner.AVAILABLE_NOW)
     runner.await_all([q])
     assert [n for n in runner.input_rows_per_batch(q) if n] == [2, 2, 2, 2, 1]
+
+
+def test_transaction_stream_keeps_late_records(spark, tmp):
+    """Five one-row batches, one 26 minutes late, one copy of the first and one
+    reject: each distinct record is published, rejected with its payload or both
+    totalled, and the late one is in the totals."""
+    rows = [("u1", "00:00:10", 5), ("u2", "00:30:00", 7), ("u3", "00:04:00", 11), ("u1", "00:00:10", 5), ("u4", "01:00:00", -1)]
+    src = f"{tmp}/topic"
+    for i, (user, t, amount) in enumerate(rows):
+        text = json.dumps({"user_id": user, "amount": amount, "timestamp": f"2024-01-01T{t}Z", "source": "web"})
+        row = [(None, text.encode(), "transactions", 0, i, None, 0)]
+        spark.createDataFrame(row, ENVELOPE_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    streams = TX.build(read_envelope_files(spark, src, max_files_per_trigger=1))
+    for mode in ("update", "complete"):
+        out = TX.Outputs(f"{tmp}/{mode}/valid", f"{tmp}/{mode}/dlq", f"{tmp}/{mode}/totals", f"{tmp}/{mode}/ckpt")
+        runner.await_all(TX.start(streams, out, trigger=runner.AVAILABLE_NOW, totals_mode=mode))
+        assert sorted(r.user_id for r in TX.read_records(spark, out.valid).collect()) == ["u1", "u2", "u3"]
+        [bad] = TX.read_records(spark, out.rejected, with_origin=True).collect()
+        assert (bad.user_id, bad.error_reason, bad.offset) == ("u4", "amount_negative", 4)
+        assert json.loads(bad.raw_value)["amount"] == -1
+        assert sorted(r.running_total for r in TX.read_totals(spark, out.totals, mode).collect()) == [5, 7, 11]
+
+
+def test_append_totals_need_chaining(spark, tmp):
+    streams = TX.build(read_envelope_files(spark, tmp))
+    out = TX.Outputs(f"{tmp}/valid", f"{tmp}/dlq", f"{tmp}/totals", f"{tmp}/ckpt")
+    with pytest.raises(ValueError):
+        TX.start(streams, out, totals_mode="append", chain_totals=False)
+
+
+def test_idle_source_stops_both_queries(spark, tmp):
+    os.makedirs(f"{tmp}/empty")
+    streams = TX.build(read_envelope_files(spark, f"{tmp}/empty"))
+    out = TX.Outputs(f"{tmp}/valid", f"{tmp}/dlq", f"{tmp}/totals", f"{tmp}/ckpt")
+    with pytest.raises(TimeoutError):
+        TX.start(streams, out, trigger={"processingTime": "1 second"}, first_commit_timeout=3.0)
+    assert not spark.streams.active

@@ -63,10 +63,10 @@ def test_memory_append_named_table_and_console(spark, tmp):
     _write(src, "f0", [("a", "2024-01-01T00:00:00Z", 1), ("stairsup", "2024-01-01T00:00:01Z", 2)],
            1e9)
     s = SS.stream_files(spark, src, "json", SCHEMA)
-    q = K.start_memory(s.where(F.col("user").like("%stairs%")), "simple_transform", "append",
+    q = K.start_memory(s.where(F.col("user").like("%stairs%")), "filtered_rows", "append",
                        trigger=runner.AVAILABLE_NOW)
     runner.await_all([q])
-    assert [r.user for r in spark.sql("SELECT * FROM simple_transform").collect()] == ["stairsup"]
+    assert [r.user for r in spark.sql("SELECT * FROM filtered_rows").collect()] == ["stairsup"]
     c = K.start_console(E.count_by(s, ["user"]), "complete", trigger=runner.AVAILABLE_NOW)
     runner.await_all([c])
     runner.stop_all(spark)

@@ -17,10 +17,10 @@ def _length_or_none(s):
 
 
 # Row-at-a-time Python UDF: one Python call per row (slow path).
-string_length_udf = F.udf(_length_or_none, IntegerType())
+text_length_rowwise = F.udf(_length_or_none, IntegerType())
 
 
 @F.pandas_udf(IntegerType())
-def string_length_pandas(s: pd.Series) -> pd.Series:
+def text_length_batched(s: pd.Series) -> pd.Series:
     """Arrow-batched string length; null in, null out."""
     return s.str.len().astype("Int32")

@@ -134,25 +134,28 @@ def proj_rename_drop(spark, sf_dir):
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("order_date"),
     )
-    # 'id' and 'order_item_order_id' do not exist: silent no-ops, as in the reference
-    return C.rename_drop(o, {"order_date": "order_datetime", "id": "order_item_id"},
-                         drop=["order_item_order_id"])
+    # names that are not there are passed over
+    return C.rename_drop(o, {"order_date": "order_datetime", "no_such_column": "renamed"},
+                         drop=["neither_this"])
 
 
 @register(
     "clean_dropna_keys",
     """
-SELECT u.c_custkey AS user_id, l.last_1995 FROM customer u
-LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_1995 FROM orders
-           WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY o_custkey) l
-ON u.c_custkey = l.o_custkey WHERE l.last_1995 IS NOT NULL""",
+SELECT c_custkey AS user_id, last_early FROM customer
+LEFT JOIN (SELECT o_custkey, max(CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN o_orderdate END) AS last_early
+           FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey
+WHERE last_early IS NOT NULL""",
 )
 def clean_dropna_keys(spark, sf_dir):
-    o = T.table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
-    last = o.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_1995"))
+    """Latest early order of every customer over all orders; customers without
+    orders, and those with later ones only, have a null there and go."""
+    o = T.table(spark, sf_dir, "orders")
+    early = F.when(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"), F.col("o_orderdate"))
+    last = o.groupBy("o_custkey").agg(F.max(early).alias("last_early"))
     users = T.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
-    joined = users.join(last, users.user_id == last.o_custkey, "left").select("user_id", "last_1995")
-    return C.drop_null_keys(joined, ["user_id", "last_1995"])
+    joined = users.join(last, users.user_id == last.o_custkey, "left").select("user_id", "last_early")
+    return C.drop_null_keys(joined, ["user_id", "last_early"])
 
 
 @register(

@@ -57,10 +57,9 @@ SELECT CASE WHEN is_valid THEN 'valid' ELSE 'dlq' END AS target, error_reason, C
 FROM ({VALIDATED_SQL}) GROUP BY 1, 2""",
 )
 def st_split_counts(spark, sf_dir):
-    valid, invalid = V.split(validated_transactions(spark, sf_dir))
-    v = valid.groupBy(F.lit("valid").alias("target"), "error_reason").agg(F.count("*").alias("n"))
-    d = invalid.groupBy(F.lit("dlq").alias("target"), "error_reason").agg(F.count("*").alias("n"))
-    return v.unionByName(d)
+    """Rows per output and reason, counted in one pass over the validated rows."""
+    target = F.when(F.col("is_valid"), "valid").otherwise("dlq").alias("target")
+    return validated_transactions(spark, sf_dir).groupBy(target, "error_reason").agg(F.count("*").alias("n"))
 
 
 @register(
@@ -142,11 +141,16 @@ def fn_ns_epoch(spark, sf_dir):
     return ev.select("event_id", S.ns_epoch_to_timestamp(ns).alias("event_time"))
 
 
-@register("fn_current_ts")
+@register(
+    "fn_current_ts",
+    "SELECT event_type, COUNT(*) AS count, TRUE AS stamped FROM events GROUP BY event_type",
+)
 def fn_current_ts(spark, sf_dir):
-    """Per-type counts stamped with processing time (non-deterministic: rows only)."""
+    """Per-type counts stamped with processing time; the stamp itself differs
+    from run to run, so the query returns only that there is one."""
     ev = T.table(spark, sf_dir, "events")
-    return ev.groupBy("event_type").count().withColumn("processed_at", S.processing_time())
+    stamped = ev.groupBy("event_type").count().withColumn("processed_at", S.processing_time())
+    return stamped.select("event_type", "count", F.col("processed_at").isNotNull().alias("stamped"))
 
 
 @register(
@@ -176,7 +180,7 @@ def fn_trim_lower(spark, sf_dir):
 def udf_scalar(spark, sf_dir):
     p = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"),
                                               F.col("p_name").alias("fruit"))
-    return p.withColumn("length", U.string_length_udf(F.col("fruit")))
+    return p.withColumn("length", U.text_length_rowwise(F.col("fruit")))
 
 
 @register(
@@ -186,4 +190,4 @@ def udf_scalar(spark, sf_dir):
 def udf_pandas(spark, sf_dir):
     p = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"),
                                               F.col("p_name").alias("fruit"))
-    return p.withColumn("length", U.string_length_pandas(F.col("fruit")))
+    return p.withColumn("length", U.text_length_batched(F.col("fruit")))

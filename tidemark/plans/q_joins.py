@@ -103,14 +103,12 @@ def join_inner_expr(spark, sf_dir):
     O.with_model("""
 SELECT u.user_id, u.name, u.city, l.order_date_max_per_user
 FROM users_c u LEFT JOIN (SELECT user_id, max(order_date) AS order_date_max_per_user
-                          FROM orders_c WHERE order_date < DATE '1996-01-01' GROUP BY user_id) l
+                          FROM orders_c GROUP BY user_id HAVING max(order_date) >= DATE '1998-01-01') l
 ON u.user_id = l.user_id""", fact=False),
 )
 def join_left(spark, sf_dir):
-    """Users left-joined to their latest 1995 order: users without one keep a null."""
+    """Users left-joined to the latest order of the users who still buy: the others keep a null."""
     m = R.clean(R.load_model(spark, sf_dir))
-    last = (
-        m.orders.where(F.col("order_date") < F.lit("1996-01-01").cast("date"))
-        .groupBy("user_id").agg(F.max("order_date").alias("order_date_max_per_user"))
-    )
+    last = m.orders.groupBy("user_id").agg(F.max("order_date").alias("order_date_max_per_user"))
+    last = last.where(F.col("order_date_max_per_user") >= F.lit("1998-01-01").cast("date"))
     return J.join_using(m.users.select("user_id", "name", "city"), last, "user_id", how="left")

@@ -46,22 +46,20 @@ def src_json_dir(spark, sf_dir):
 
 # ---------------------------------------------------------------- malformed CSV (A2)
 
-# Fixed values of the fault injection: every line of one brand's products is
-# replaced by this junk text, the broken-line class of the reference's
-# product feed. All rows of ``part`` are written; the rule only picks which
-# lines are broken.
+# The fault injection: every line of one brand's products is replaced by junk.
+# All rows of ``part`` are written; the rule only picks which lines are broken.
 BROKEN_BRAND = "Brand#13"
-BROKEN_LINE = "BAD_LINE_HERE"
-PRODUCT_CSV_SCHEMA = "product_id int, product_name string, category string, price int"
+BROKEN_LINE = "~~ cut off in transfer ~~"
+PRODUCT_CSV_SCHEMA = "product_id int, product_name string, category string, price double"
 CORRUPT_COLUMN = "_corrupt_record"
 
 
 def _product_feed_csv(spark, sf_dir):
-    """part -> headerless CSV lines (id, name, type, whole price), with the
-    broken brand's lines replaced by junk; one parallel text write."""
+    """part -> headerless CSV lines (id, name, type, price), with the broken
+    brand's lines replaced by junk; one parallel text write."""
     part = T.table(spark, sf_dir, "part")
-    good = F.concat_ws(",", F.col("p_partkey").cast("string"), "p_name", "p_type",
-                       F.floor("p_retailprice").cast("string"))
+    quoted = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('\\"')), F.lit('"')) for c in ("p_name", "p_type")]
+    good = F.concat_ws(",", F.col("p_partkey").cast("string"), *quoted, F.col("p_retailprice").cast("string"))
     line = F.when(F.col("p_brand") == BROKEN_BRAND, F.lit(BROKEN_LINE)).otherwise(good)
     path = scratch_path(spark, "product-feed-csv")
     part.select(line.alias("value")).write.text(path)
@@ -70,7 +68,7 @@ def _product_feed_csv(spark, sf_dir):
 
 PRODUCT_FEED_SQL = """
 SELECT CAST(p_partkey AS INTEGER) AS product_id, p_name AS product_name, p_type AS category,
-       CAST(floor(p_retailprice) AS INTEGER) AS price{extra}
+       p_retailprice AS price{extra}
 FROM part WHERE p_brand <> 'Brand#13'"""
 
 
@@ -79,7 +77,7 @@ FROM part WHERE p_brand <> 'Brand#13'"""
     PRODUCT_FEED_SQL.format(extra=", CAST(NULL AS VARCHAR) AS _corrupt_record")
     + """
 UNION ALL
-SELECT NULL, NULL, NULL, NULL, 'BAD_LINE_HERE' FROM part WHERE p_brand = 'Brand#13'""",
+SELECT NULL, NULL, NULL, NULL, '~~ cut off in transfer ~~' FROM part WHERE p_brand = 'Brand#13'""",
 )
 def src_csv_malformed(spark, sf_dir):
     """PERMISSIVE read: broken lines stay as all-null rows whose raw text is

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import money
 from tidemark.operators import validation as V
-from tidemark.plans.q_functions import TEST_RULES
+from tidemark.plans.q_functions import RULES_SQL, TEST_RULES
 from tidemark.plans.registry import register
 from tidemark.session import scratch_path
 from tidemark.sinks import stream as K
@@ -149,7 +149,7 @@ WHERE gt LIKE '%ic%' AND gt IS NOT NULL""",
 )
 def st_filter_project(spark, sf_dir):
     s = _activity_stream(spark, sf_dir, max_files=1)
-    out = E.stairs_filter(s, "%ic%", columns=("gt", "User", "event_time", "value"))
+    out = E.pattern_filter(s, "gt", "%ic%", ("gt", "User", "event_time", "value"))
     return _run_files(spark, out, "filter-project")
 
 
@@ -253,20 +253,42 @@ def _envelope_static(spark, sf_dir, copies_of="purchase"):
     return env.drop("_source")
 
 
-def _envelope_stream(spark, sf_dir, n_files=REPLAY_FILES, max_files=None):
+def _with_faults(env):
+    """Every kind of broken record, chosen by the event id: missing user, amount
+    and timestamp, unparseable timestamp, negative and too large amount, null
+    source, malformed JSON (16 classes, half of them left whole)."""
+    kind = F.pmod(F.col("offset"), F.lit(16))
+    rec = F.from_json(F.col("value").cast("string"), V.TRANSACTION_SCHEMA)
+    broken = F.struct(
+        F.when(kind != 0, rec["user_id"]).alias("user_id"),
+        F.when(kind == 4, -rec["amount"]).when(kind == 5, rec["amount"] + 20000000)
+        .when(kind != 1, rec["amount"]).alias("amount"),
+        F.when(kind == 3, F.concat(F.lit("bad-"), F.pmod(F.col("offset"), F.lit(1 << 40)).cast("string")))
+        .when(kind != 2, rec["timestamp"]).alias("timestamp"),
+        F.when(kind != 6, rec["source"]).alias("source"),
+    )
+    text = F.when(kind == 7, F.lit("{bad")).otherwise(F.to_json(broken))
+    return env.withColumn("value", text.cast("binary"))
+
+
+def _envelope_stream(spark, sf_dir, n_files=REPLAY_FILES, max_files=2, faults=False):
+    """The topic as a file stream of several micro-batches. Its files are dealt
+    at random, so most rows of the later batches are older than the newest event
+    time seen, far beyond any watermark on it."""
     path = scratch_path(spark, "tx-envelope")
-    _envelope_static(spark, sf_dir).repartition(n_files).write.parquet(path)
+    env = _envelope_static(spark, sf_dir)
+    (_with_faults(env) if faults else env).repartition(n_files).write.parquet(path)
     return SS.read_envelope_files(spark, path, max_files_per_trigger=max_files)
 
 
-def _run_transactions(spark, sf_dir, rules=TEST_RULES):
-    streams = TX.build(_envelope_stream(spark, sf_dir), rules)
+def _run_transactions(spark, sf_dir, rules=TEST_RULES, faults=False, totals_mode="update"):
+    streams = TX.build(_envelope_stream(spark, sf_dir, faults=faults), rules)
     out = TX.Outputs(
         valid=scratch_path(spark, "tx-valid"), rejected=scratch_path(spark, "tx-dlq"),
         totals=scratch_path(spark, "tx-totals"), checkpoint=scratch_path(spark, "tx-ckpt"),
     )
     with runner.state_width(spark):
-        queries = TX.start(streams, out, trigger=runner.AVAILABLE_NOW)
+        queries = TX.start(streams, out, trigger=runner.AVAILABLE_NOW, totals_mode=totals_mode)
     runner.await_all(queries)
     return out
 
@@ -293,22 +315,12 @@ def st_dedup_unbounded(spark, sf_dir):
     f'SELECT user_id, amount, "timestamp", source FROM ({TX_SQL})',
 )
 def st_dedup_within_watermark(spark, sf_dir):
-    """Bounded-state form of I10: duplicates within a 3-minute watermark."""
-    tx = V.with_event_time(TX.decode(_envelope_stream(spark, sf_dir)))
-    out = E.dedup_within_watermark(tx, ["user_id", "timestamp"], "event_time", "3 minutes")
-    return _run_files(spark, out.drop("event_time"), "dedup-within-watermark")
-
+    """Bounded-state form of I10: copies within an hour of processing time,
+    over several micro-batches with late rows."""
+    tx = TX.decode(_envelope_stream(spark, sf_dir))
+    return _run_files(spark, E.dedup_on_arrival(tx, ["user_id", "timestamp"], "1 hour"),
+                      "dedup-within-watermark")
 
-RULES_SQL = f"""
-CASE WHEN user_id IS NULL THEN 'missing_user_id'
-     WHEN amount IS NULL THEN 'missing_amount'
-     WHEN "timestamp" IS NULL THEN 'missing_timestamp'
-     WHEN event_time IS NULL THEN 'invalid_timestamp'
-     WHEN amount < 1 THEN 'amount_negative'
-     WHEN amount > {T.TEST_MAX_AMOUNT} THEN 'amount_too_large'
-     WHEN source IS NULL OR source NOT IN ({", ".join(f"'{s}'" for s in T.TEST_SOURCES)})
-       THEN 'invalid_source'
-END"""
 
 # rejects are not de-duplicated in strict mode: count the re-delivered ones too
 TX_ALL_SQL = """
@@ -338,21 +350,100 @@ def st_tx_dlq(spark, sf_dir):
     return TX.read_records(spark, out.rejected)
 
 
+def _minute_total_sql(valid_rows):
+    return f"""
+SELECT time_bucket(INTERVAL '1 minute', event_time) AS window_start,
+       time_bucket(INTERVAL '1 minute', event_time) + INTERVAL '1 minute' AS window_end,
+       CAST(SUM(amount) AS BIGINT) AS running_total
+FROM ({valid_rows}) WHERE event_time IS NOT NULL GROUP BY 1, 2"""
+
+
+@register("st_tx_minute_total", _minute_total_sql(f"SELECT * FROM ({TX_SQL}) WHERE ({RULES_SQL}) IS NULL"))
+def st_tx_minute_total(spark, sf_dir):
+    """Per-minute totals of all valid amounts, late ones too, from the update
+    log of the totals (I13)."""
+    out = _run_transactions(spark, sf_dir)
+    return TX.read_totals(spark, out.totals)
+
+
+# ---------------------------------------------------------------- broken records, both modes
+
+COMPAT_RULES = V.Rules(sources=T.TEST_SOURCES, max_amount=T.TEST_MAX_AMOUNT, mode="compat")
+
+FAULT_ROWS_SQL = """
+SELECT CASE WHEN k NOT IN (0, 7) THEN user_id END AS user_id,
+       CASE WHEN k = 4 THEN -amount WHEN k = 5 THEN amount + 20000000 WHEN k NOT IN (1, 7) THEN amount END AS amount,
+       CASE WHEN k = 3 THEN 'bad-' || event_id WHEN k NOT IN (2, 7) THEN "timestamp" END AS "timestamp",
+       CASE WHEN k NOT IN (6, 7) THEN source END AS source,
+       CASE WHEN k NOT IN (2, 3, 7) THEN ts END AS event_time, source AS made_of
+FROM (SELECT event_id, event_id % 16 AS k, ts, CAST(user_id AS VARCHAR) AS user_id,
+             CAST(round(value * 100) AS INTEGER) AS amount,
+             strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", event_type AS source FROM events)"""
+
+# compat: no rule for an unparseable timestamp, and a null source passes
+COMPAT_RULES_SQL = f"""
+CASE WHEN user_id IS NULL THEN 'missing_user_id'
+     WHEN amount IS NULL THEN 'missing_amount'
+     WHEN "timestamp" IS NULL THEN 'missing_timestamp'
+     WHEN amount < 1 THEN 'amount_negative'
+     WHEN amount > {T.TEST_MAX_AMOUNT} THEN 'amount_too_large'
+     WHEN source NOT IN ({", ".join(f"'{s}'" for s in T.TEST_SOURCES)}) THEN 'invalid_source'
+END"""
+
+COMPAT_VALID_SQL = f"""
+SELECT DISTINCT user_id, amount, "timestamp", source, event_time FROM ({FAULT_ROWS_SQL})
+WHERE ({COMPAT_RULES_SQL}) IS NULL"""
+
+
+@register("st_tx_valid_compat", f'SELECT user_id, amount, "timestamp", source FROM ({COMPAT_VALID_SQL})')
+def st_tx_valid_compat(spark, sf_dir):
+    """Valid records of the reference's order of steps: de-duplicate, then split."""
+    out = _run_transactions(spark, sf_dir, COMPAT_RULES, faults=True)
+    return TX.read_records(spark, out.valid).select("user_id", "amount", "timestamp", "source")
+
+
+@register(
+    "st_tx_dlq_compat",
+    f"""SELECT DISTINCT user_id, "timestamp", error_reason FROM (
+  SELECT *, {COMPAT_RULES_SQL} AS error_reason FROM ({FAULT_ROWS_SQL})) WHERE error_reason IS NOT NULL""",
+)
+def st_tx_dlq_compat(spark, sf_dir):
+    """Rejects of the same: one per (user_id, timestamp), so all malformed rows
+    are one. Which copy of a key stays is arbitrary, so only the key and the
+    reason are returned."""
+    out = _run_transactions(spark, sf_dir, COMPAT_RULES, faults=True)
+    return TX.read_records(spark, out.rejected).select("user_id", "timestamp", "error_reason")
+
+
+@register("st_tx_minute_total_compat", _minute_total_sql(COMPAT_VALID_SQL))
+def st_tx_minute_total_compat(spark, sf_dir):
+    """Complete-mode totals of the same: every window."""
+    out = _run_transactions(spark, sf_dir, COMPAT_RULES, faults=True, totals_mode="complete")
+    return TX.read_totals(spark, out.totals, "complete")
+
+
 @register(
-    "st_tx_minute_total",
+    "st_tx_routing",
     f"""
-SELECT window_start, window_end, running_total FROM (
-  SELECT time_bucket(INTERVAL '1 minute', event_time) AS window_start,
-         time_bucket(INTERVAL '1 minute', event_time) + INTERVAL '1 minute' AS window_end,
-         CAST(SUM(amount) AS BIGINT) AS running_total
-  FROM ({TX_SQL}) WHERE ({RULES_SQL}) IS NULL GROUP BY 1, 2)
-WHERE window_end <= (SELECT max(event_time) - INTERVAL '3 minutes' FROM ({TX_SQL})
-                     WHERE ({RULES_SQL}) IS NULL)""",
+SELECT 'dlq' AS target, error_reason, COUNT(*) AS n, COUNT(*) AS with_payload FROM (
+  SELECT *, {RULES_SQL} AS error_reason FROM (
+    SELECT * FROM ({FAULT_ROWS_SQL}) UNION ALL SELECT * FROM ({FAULT_ROWS_SQL}) WHERE made_of = 'purchase'))
+WHERE error_reason IS NOT NULL GROUP BY error_reason
+UNION ALL
+SELECT 'valid', NULL, COUNT(*), 0 FROM (
+  SELECT DISTINCT user_id, "timestamp" FROM ({FAULT_ROWS_SQL}) WHERE ({RULES_SQL}) IS NULL)""",
 )
-def st_tx_minute_total(spark, sf_dir):
-    """Per-minute totals of valid amounts, appended as windows close."""
-    out = _run_transactions(spark, sf_dir)
-    return spark.read.parquet(out.totals)
+def st_tx_routing(spark, sf_dir):
+    """Where strict mode sends every record of a topic with broken ones: each
+    reject, re-delivered ones too, with its raw payload; each valid one once."""
+    out = _run_transactions(spark, sf_dir, faults=True)
+    rejected = TX.read_records(spark, out.rejected, with_origin=True)
+    valid = TX.read_records(spark, out.valid)
+    return rejected.groupBy(F.lit("dlq").alias("target"), "error_reason").agg(
+        F.count("*").alias("n"), F.count("raw_value").alias("with_payload"),
+    ).unionByName(valid.select(
+        F.lit("valid").alias("target"), F.lit(None).cast("string").alias("error_reason"),
+    ).groupBy("target", "error_reason").agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("with_payload")))
 
 
 @register(
@@ -365,7 +456,7 @@ def topk_window_struct(spark, sf_dir):
     s = _activity_stream(spark, sf_dir, max_files=2)
     agg = E.windowed_count(s, "event_time", "10 minutes", "5 minutes", flatten=False)
     table = _run_complete(spark, agg, "sliding-named")
-    name = "pyevents_per_sliding_window"
+    name = "activity_by_window"
     table.createOrReplaceTempView(name)
     top = spark.sql(f"SELECT * FROM {name} ORDER BY window DESC LIMIT 10")
     return top.select(F.col("window.start").alias("window_start"),

@@ -22,24 +22,15 @@ def with_event_time_from_ns(df: DataFrame, ns_col: str = "Creation_Time",
     return df.withColumn(out, ns_epoch_to_timestamp(ns_col))
 
 
-def as_event_time(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Cast a TIMESTAMP_NTZ column to TIMESTAMP: watermarks accept only the
-    latter. The session time zone interprets the wall-clock value."""
-    return df.withColumn(out or col, F.col(col).cast("timestamp"))
-
-
 def count_by(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     """Running count per key (I1, I2); unbounded keys mean unbounded state."""
     return df.groupBy(*keys).count()
 
 
-def stairs_filter(df: DataFrame, pattern: str = "%stairs%",
-                  columns: Sequence[str] = ("gt", "model", "arrival_time", "creation_time")
-                  ) -> DataFrame:
-    """Stateless filter + projection, append mode."""
-    flagged = df.withColumn("stairs", like("gt", pattern))
-    out = flagged.where("stairs").where("gt is not null")
-    return out.select(*columns)
+def pattern_filter(df: DataFrame, col: str, pattern: str, columns: Sequence[str]) -> DataFrame:
+    """Stateless filter on a LIKE pattern + projection, append mode (I3). A null
+    matches no pattern."""
+    return df.where(like(col, pattern)).select(*columns)
 
 
 def device_cube(df: DataFrame, keys: Sequence[str] = ("gt", "model")) -> DataFrame:
@@ -97,3 +88,14 @@ def dedup_within_watermark(df: DataFrame, keys: Sequence[str], time_col: str,
     if df.isStreaming:
         return df.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(list(keys))
     return df.dropDuplicates(list(keys))
+
+
+def dedup_on_arrival(df: DataFrame, keys: Sequence[str], horizon: str) -> DataFrame:
+    """Bounded form of I10 that loses no row: copies processed within ``horizon``
+    of the first are dropped. The watermark stands on processing time, so no
+    arriving row is ever behind it, however old its event time. On a bounded
+    frame it equals ``dropDuplicates``."""
+    if not df.isStreaming:
+        return df.dropDuplicates(list(keys))
+    stamped = df.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", horizon)
+    return stamped.dropDuplicatesWithinWatermark(list(keys)).drop("_arrival")
