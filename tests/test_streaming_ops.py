@@ -146,10 +146,14 @@ def test_aqe_switch(spark):
 
 def test_filters_and_columns_reach_the_scan(spark):
     from __spark_entry__ import queries
-    df = queries()["clean_dropna_keys"](spark, "/root/testdata/sf0.001")
-    plan = J.plan_text(df)
+    from tidemark.sources import tables as T
+    o = T.table(spark, "/root/testdata/sf0.001", "orders")
+    early = o.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    plan = J.plan_text(early.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last")))
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
+    whole = J.plan_text(queries()["clean_dropna_keys"](spark, "/root/testdata/sf0.001"))
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in whole
 
 
 def test_jdbc_partitioned_read_needs_bounds(spark):
