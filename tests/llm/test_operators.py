@@ -291,3 +291,25 @@ def test_revisits_resolve_to_the_latest_earlier_response(spark):
 def test_hashes_of_texts_are_sha256(spark):
     row = fingerprints.edited_fingerprints(table(spark, ["abcdefgh"])).select(F.sha2("edited", 256).alias("s")).first()
     assert row.s == hashlib.sha256(b"abcdefab").hexdigest()
+
+
+def test_encoder_gives_the_ids_of_whole_texts():
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public.path("word_bpe_49k.json")
+    whole, rnd = Tokenizer.from_file(path), random.Random(5)
+    parts = ["don't", "''s", "É", "é", "H̱", "İ", "ß", "Σ", "ſ", "K", "12a", "\t", "\r", "\x1c", "\x85", " ", " ", " ", "\n", "日本", "😀", "<|endoftext|>", "<|EndOfText|>", "_", "...", "'LL", "ª", "²", "a", "Zz", "\x00", "é,", "#%"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 40))) for _ in range(3000)] + ["", " ", "a" * 5000, "é" * 3000]
+    encoder = token_files.Encoder(path, most=500)
+    for a in range(0, len(texts), 100):
+        for text, ids in zip(texts[a : a + 100], encoder(texts[a : a + 100])):
+            assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_starts_are_sums_over_all_files_before(spark):
+    rnd = random.Random(7)
+    sizes = {p: rnd.randint(0, 9) for p in rnd.sample(range(3000), 400)}
+    manifest = spark.createDataFrame([(p, n) for p, n in sizes.items()], "part int, n_ids long")
+    for r in token_files.with_starts(manifest).collect():
+        assert r.start == sum(n for p, n in sizes.items() if p < r.part)

@@ -21,6 +21,7 @@ whose file name is in the manifest; a lost executor's file is never read.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import row_key
@@ -123,48 +124,86 @@ class Encoder:
 
     The tokenizer drops white space and never joins across it, so a text's ids
     are those of its chunks between spaces and line ends, one after another. A
-    chunk of plain letters followed by plain marks is split once more.
+    chunk that the cache lacks is cut as the tokenizer cuts it: plain text by
+    ``_PLAIN``, other letters followed by plain marks into these two. New pieces
+    are encoded many at once, joined by spaces; every piece ends in the one id
+    that carries the end-of-word mark. If the numbers of pieces and marks differ,
+    each piece is encoded by itself, and so is a chunk of any other kind or one
+    that holds a special token.
     """
 
     _MARKS = ".,;:!?|#%$&*"
+    #: fixed value: the tokenizer's own cut, for plain lower-case text
+    _PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0Da-z0-9]+")
+    _JOINED = 512
 
     def __init__(self, path: str, most: int = 400_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.cache, self.most = {}, most
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.encode = lambda chunks: [e.ids for e in encode(chunks, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        split, todo = {}, set()
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.full = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.full.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.special = [t.content.lower() for t in self.full.get_added_tokens_decoder().values()]
+        suffix = self.full.model.end_of_word_suffix
+        vocabulary = self.full.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.most = most
+
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
+        encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+        return [e.ids for e in encode(texts, add_special_tokens=False)]
+
+    def _encode(self, tokenizer, pieces: list[str]) -> Iterator[bytes]:
+        joined = [pieces[i : i + self._JOINED] for i in range(0, len(pieces), self._JOINED)]
+        for group, ids in zip(joined, self._ids(tokenizer, [" ".join(g) for g in joined])):
+            ids = np.array(ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
+            if len(ends) == len(group):
+                raw, at = ids.tobytes(), 0
+                for end in ends.tolist():
+                    yield raw[at:end]
+                    at = end
+            else:
+                for one in self._ids(self.full, group):
+                    yield np.array(one, "<u4").tobytes()
+
+    def _learn(self, chunks: set[str]) -> None:
+        cut, plain, letters, alone = {}, set(), set(), set()
         for c in chunks:
             core = c.rstrip(self._MARKS)
-            parts = (c,)
-            if core != c and core.isalpha():
-                parts = (core, c[len(core) :])
-            if parts[0].isascii() and parts[0].isalpha():
-                parts = (parts[0].lower(), *parts[1:])
-            split[c] = parts
-            todo.update(p for p in parts if p not in self.cache)
-        missing = list(todo)
-        self.cache.update(zip(missing, self.encode(missing)))
-        for c, parts in split.items():
-            if len(parts) > 1 or parts[0] != c:
-                self.cache[c] = [i for p in parts for i in self.cache[p]]
+            low = c.lower()
+            if any(t in low for t in self.special):
+                cut[c], kind = [c], alone
+            elif c.isascii():
+                cut[c], kind = self._PLAIN.findall(low), plain
+            elif core.isalpha() and core.lower().isalpha():  # a lower-cased letter may leave a mark behind
+                cut[c], kind = [core, *self._PLAIN.findall(c[len(core) :])], letters
+            else:
+                cut[c], kind = [c], alone
+            kind.update(p for p in cut[c] if p not in self.pieces)
+        for tokenizer, new in ((self.plain, list(plain)), (self.full, list(letters))):
+            self.pieces.update(zip(new, self._encode(tokenizer, new)))
+        one = list(alone)
+        self.pieces.update(zip(one, (np.array(ids, "<u4").tobytes() for ids in self._ids(self.full, one))))
+        for c, parts in cut.items():
+            self.chunks[c] = b"".join([self.pieces[p] for p in parts])
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         chunked = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.cache) > self.most:
-            self.cache.clear()
-        new = {c for words in chunked for c in words if c not in self.cache}
+        for known in (self.chunks, self.pieces):
+            if len(known) > self.most:
+                known.clear()
+        new = set().union(*chunked).difference(self.chunks)
         if new:
-            self._learn(list(new))
+            self._learn(new)
         for words in chunked:
-            ids: list[int] = []
-            for found in map(self.cache.__getitem__, words):
-                ids += found
-            yield np.array(ids, np.uint32)
+            yield np.frombuffer(b"".join(map(self.chunks.__getitem__, words)), "<u4")
 
 
 @cache
@@ -216,6 +255,20 @@ def _write(folder: str, vocabulary: str, end_id: int, id_bytes: int):
     return run
 
 
+def with_starts(manifest: DataFrame) -> DataFrame:
+    """Adds ``start``, the sum of ``n_ids`` over all smaller ``part`` numbers.
+
+    Sums are made for every aligned range of 1, 2, 4, ... parts; the parts below
+    a number are one such range for each of its binary ones. So no task has to
+    see all files in order.
+    """
+    at = F.expr("shiftright(part, level)")
+    ranges = manifest.select("part", "n_ids", F.expr("explode(sequence(0, 30)) AS level")).groupBy("level", at.alias("range")).agg(F.sum("n_ids").alias("ids"))
+    wanted = manifest.select("part", F.expr("explode(filter(sequence(0, 30), i -> shiftright(part, i) % 2 = 1)) AS level")).select("part", "level", (at - 1).alias("range"))
+    starts = wanted.join(ranges, ["level", "range"]).groupBy("part").agg(F.sum("ids").alias("start"))
+    return manifest.join(starts, "part", "left").withColumn("start", F.coalesce("start", F.lit(0).cast("long")))
+
+
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, vocabulary_size: int = 49_408) -> DataFrame:
     """Encode whole texts and write them in id order under ``folder``, a URI all
     executors share. Returns the manifest ``(part, file, n_docs, n_ids, start)``,
@@ -234,8 +287,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, id_col: str = "d
         ),
         "token-manifest",
     )
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long"))
+    return with_starts(manifest)
 
 
 def _read(folder: str):
