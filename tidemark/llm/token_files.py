@@ -26,16 +26,17 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import row_key
+from tidemark.llm.common import Rolling, row_key
 from tidemark.operators.control import materialize
 from tidemark.session import scratch_path
 
@@ -120,24 +121,31 @@ class FrameReader:
 
 
 class Encoder:
-    """Ids of whole texts through a cache of the ids of their chunks.
+    """Ids of whole texts through a cache of the ids of their pieces.
 
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its chunks between spaces and line ends, one after another. A
-    chunk that the cache lacks is cut as the tokenizer cuts it: plain text by
-    ``_PLAIN``, other letters followed by plain marks into these two. New pieces
-    are encoded many at once, joined by spaces; every piece ends in the one id
+    The tokenizer composes and lower-cases a text and cuts it into words, single
+    digits and runs of marks, which it encodes one by one. Texts of ASCII and the
+    common Latin letters are composed already; they are cut here in the same way,
+    a group of texts at once, and pieces are looked up by a 64-bit hash. Those not
+    met yet are encoded many at once, joined by spaces; each ends in the one id
     that carries the end-of-word mark. If the numbers of pieces and marks differ,
-    each piece is encoded by itself, and so is a chunk of any other kind or one
-    that holds a special token.
+    each piece is encoded by itself.
+
+    Other texts are cut at spaces and line ends, which the tokenizer drops and
+    never joins across, and their new chunks are encoded one by one. Texts that
+    hold a special token are encoded whole.
     """
 
-    _MARKS = ".,;:!?|#%$&*"
-    #: fixed value: the tokenizer's own cut, for plain lower-case text
-    _PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0Da-z0-9]+")
+    #: ASCII and U+00C0 to U+017F without the signs for times and divide and the
+    #: capital I with a dot, which lower-cases to two characters
+    _LATIN = re.compile("[\x00-\x7F\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]*")
+    _SPACE, _LETTER, _DIGIT, _MARK = range(4)
+    #: fixed values: endings that the tokenizer takes as one piece with an apostrophe before them
+    _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
     _JOINED = 512
+    _SECTION = 1 << 21
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.full = Tokenizer.from_file(path)
@@ -150,60 +158,104 @@ class Encoder:
         vocabulary = self.full.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.most = most
+        self.kind = np.full(256, self._MARK, np.uint8)
+        self.kind[[0x20, *range(0x09, 0x0E)]] = self._SPACE
+        self.kind[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = self._LETTER
+        self.kind[ord("0") : ord("9") + 1] = self._DIGIT
+        self.rolling, self.most = Rolling(), most
+        self.chunks: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.first, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     @staticmethod
-    def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
+    def _encoded(tokenizer, texts: list[str]) -> list[np.ndarray]:
         encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-        return [e.ids for e in encode(texts, add_special_tokens=False)]
+        return [np.array(e.ids, np.uint32) for e in encode(texts, add_special_tokens=False)]
 
-    def _encode(self, tokenizer, pieces: list[str]) -> Iterator[bytes]:
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        ids, count = [self.ids], [self.count]
         joined = [pieces[i : i + self._JOINED] for i in range(0, len(pieces), self._JOINED)]
-        for group, ids in zip(joined, self._ids(tokenizer, [" ".join(g) for g in joined])):
-            ids = np.array(ids, "<u4")
-            ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
-            if len(ends) == len(group):
-                raw, at = ids.tobytes(), 0
-                for end in ends.tolist():
-                    yield raw[at:end]
-                    at = end
-            else:
-                for one in self._ids(self.full, group):
-                    yield np.array(one, "<u4").tobytes()
-
-    def _learn(self, chunks: set[str]) -> None:
-        cut, plain, letters, alone = {}, set(), set(), set()
-        for c in chunks:
-            core = c.rstrip(self._MARKS)
-            low = c.lower()
-            if any(t in low for t in self.special):
-                cut[c], kind = [c], alone
-            elif c.isascii():
-                cut[c], kind = self._PLAIN.findall(low), plain
-            elif core.isalpha() and core.lower().isalpha():  # a lower-cased letter may leave a mark behind
-                cut[c], kind = [core, *self._PLAIN.findall(c[len(core) :])], letters
-            else:
-                cut[c], kind = [c], alone
-            kind.update(p for p in cut[c] if p not in self.pieces)
-        for tokenizer, new in ((self.plain, list(plain)), (self.full, list(letters))):
-            self.pieces.update(zip(new, self._encode(tokenizer, new)))
-        one = list(alone)
-        self.pieces.update(zip(one, (np.array(ids, "<u4").tobytes() for ids in self._ids(self.full, one))))
-        for c, parts in cut.items():
-            self.chunks[c] = b"".join([self.pieces[p] for p in parts])
+        for group, found in zip(joined, self._encoded(self.plain, [" ".join(g) for g in joined])):
+            counts = np.diff(np.flatnonzero(self.last[found]), prepend=-1)
+            if len(counts) != len(group):
+                each = self._encoded(self.full, group)
+                found, counts = np.concatenate(each), np.array([len(x) for x in each])
+            ids.append(found)
+            count.append(counts)
+        self.ids, self.count = np.concatenate(ids), np.concatenate(count)
+        self.first = np.cumsum(self.count) - self.count
+        rows = np.arange(len(self.count) - len(keys), len(self.count))
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys, self.rows = np.insert(self.keys, at, keys[order]), np.insert(self.rows, at, rows[order])
+
+    def _cut(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of every piece; ``data`` ends in three spaces or line ends."""
+        kind = self.kind[data]
+        start = kind != self._SPACE
+        start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == self._DIGIT)
+        quote = np.flatnonzero(start & (data == ord("'")))
+        for ending in self._ENDINGS:
+            hit = quote[np.all([data[quote + 1 + k] == ord(c) for k, c in enumerate(ending)], axis=0)]
+            start[hit + 1] = False
+            after = hit + 1 + len(ending)
+            start[after] = kind[after] != self._SPACE
+        edges = np.flatnonzero(start | (kind == self._SPACE))
+        begins = np.flatnonzero(start[edges])
+        return edges[begins], edges[begins + 1]
+
+    def _latin(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of lower-case texts of Latin letters."""
+        raw = [t.encode() for t in texts]
+        buffer = b"\n".join([*raw, b"\n\n"])
+        data = np.frombuffer(buffer, np.uint8)
+        start, end = self._cut(data)
+        codes, keys = pd.factorize(self.rolling.spans(self.rolling.prefix(data), start, end))
+        if len(self.keys) > self.most:
+            self._forget()
+        at = np.searchsorted(self.keys, keys)
+        new = np.flatnonzero(np.append(self.keys, np.uint64(0))[at] != keys) if len(self.keys) else np.arange(len(keys))
+        if len(new):
+            seen = np.zeros(len(keys), np.int64)
+            seen[codes[::-1]] = np.arange(len(codes))[::-1]
+            self._learn(keys[new], [buffer[i:j].decode() for i, j in zip(start[seen[new]].tolist(), end[seen[new]].tolist())])
+        row = self.rows[np.searchsorted(self.keys, keys)][codes]
+        count = self.count[row]
+        below = np.cumsum(count) - count
+        ids = self.ids[np.repeat(self.first[row] - below, count) + np.arange(count.sum())]
+        ends = np.searchsorted(start, np.cumsum([len(r) + 1 for r in raw]))
+        return np.split(ids, np.append(below, len(ids))[ends])[: len(texts)]
+
+    def _long(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """As ``_latin``, a section up to a space at a time: memory stays bounded."""
+        for text in texts:
+            at, ids = 0, []
+            while at < len(text):
+                end = text.find(" ", at + self._SECTION) + 1 or len(text)
+                ids += self._latin([text[at:end]])
+                at = end
+            yield np.concatenate(ids)
+
+    def _by_chunks(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if len(self.chunks) > self.most:
+            self.chunks.clear()
+        chunked = [t.replace("\n", " ").split(" ") for t in texts]
+        new = list(set().union(*chunked).difference(self.chunks))
+        self.chunks.update(zip(new, self._encoded(self.full, new)))
+        return (np.concatenate([self.chunks[c] for c in chunks]) for chunks in chunked)
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        chunked = [t.replace("\n", " ").split(" ") for t in texts]
-        for known in (self.chunks, self.pieces):
-            if len(known) > self.most:
-                known.clear()
-        new = set().union(*chunked).difference(self.chunks)
-        if new:
-            self._learn(new)
-        for words in chunked:
-            yield np.frombuffer(b"".join(map(self.chunks.__getitem__, words)), "<u4")
+        ways, of = [], ([], [], [], [])
+        for text in texts:
+            low = text.lower()
+            way = 0 if any(t in low for t in self.special) else 1 if not self._LATIN.fullmatch(text) else 2 if len(text) <= self._SECTION else 3
+            of[way].append(low if way > 1 else text)
+            ways.append(way)
+        found = [iter(f(t) if t else ()) for f, t in zip((partial(self._encoded, self.full), self._by_chunks, self._latin, self._long), of)]
+        return (next(found[way]) for way in ways)
 
 
 @cache
