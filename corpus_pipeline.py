@@ -12,6 +12,9 @@ from tidemark.llm.common import read, row_key
 from tidemark.llm.queries import tokenizer_path
 from tidemark.operators.control import materialize
 
+#: Near duplicates: words of a shingle and least similarity in percent.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
@@ -23,7 +26,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of linked ones: the one with the smallest id
     (of equal ids the smallest row key, of exact repeats one). A document with
     no words is linked with none; repeats of one are left as they are."""
-    found = ngram_join.similar_components(docs)
+    found = ngram_join.similar_components(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
     first = (
         found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rk")).alias("first"))
         .select(F.col("first.rk").alias("_kept"))
