@@ -28,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     no words is linked with none; repeats of one are left as they are."""
     found = ngram_join.similar_components(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
     first = (
-        found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rk")).alias("first"))
+        found.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rk")).alias("first"))
         .select(F.col("first.rk").alias("_kept"))
         .union(found.where("n_shingles = 0").select("rk").distinct())
     )

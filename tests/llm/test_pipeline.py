@@ -105,3 +105,19 @@ def test_keys_meet_at_80_percent():
             sizes = np.array([len(a), len(b)])
             who, found = ngram_join.keys_of(np.repeat([0, 1], sizes), np.concatenate([a, b]), sizes, 80)
             assert set(found[who == 0]) & set(found[who == 1])
+
+
+def test_unlinked_documents_with_null_or_equal_ids_all_stay(spark):
+    rnd = random.Random(6)
+    rows = [(d, random_text(rnd, 50), "a") for d in (None, None, None, None, 7, 7, 7, 8)]
+    got = rows_of(corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), ""))
+    assert got == Counter(rows)
+    found = ngram_join.similar_components(frame(spark, [*rows, rows[0]])).collect()
+    assert len({r.component for r in found}) == len(rows) and all(r.component is not None for r in found)
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    rows = documents()
+    got = rows_of(corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), ""))
+    assert got == without_near(spark, rows)
+    assert sum(got.values()) < len(rows) - 20 and sum(d is None for d, *_ in got.elements()) > 15

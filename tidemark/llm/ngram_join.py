@@ -336,9 +336,12 @@ def _still_apart(keys: DataFrame, labels: DataFrame, digests: DataFrame, percent
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs``: ``rk`` (see ``common.row_key``), id, ``n_shingles``
-    and ``component_id``, the smallest id reachable over links of Jaccard
-    similarity ``percent`` / 100 or more, the row's own included."""
+    """Per row of ``docs``: ``rk`` (see ``common.row_key``), id, ``n_shingles``,
+    ``component_id``, the smallest id reachable over links of Jaccard similarity
+    ``percent`` / 100 or more, the row's own included, and ``component``, which
+    names the component: its smallest set id, never null. Ids can be null or
+    repeated, so unlinked rows may share a ``component_id``; they never share a
+    ``component``, except for rows without shingles, whose set is the same."""
     texts = keyed(docs, id_col, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
     index = materialize(texts.mapInArrow(_index(width), f"rk long, doc_id {id_type}, n long, sid long"), "ngram-index")
@@ -373,5 +376,6 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("doc_id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("label").alias("component"),
     )
 
