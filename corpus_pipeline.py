@@ -38,8 +38,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
+    """Documents that contain no benchmark item, however short."""
+    return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

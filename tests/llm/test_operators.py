@@ -163,6 +163,32 @@ def test_contained_items_are_found_in_long_documents(spark, corpus):
     assert decontaminate.contained_items(empty(spark), bench).count() == 0
 
 
+def test_short_items_are_found_inside_long_documents(spark, corpus):
+    words = corpus[8].split()
+    items = ["two words", " ".join(words[700:703]).upper(), words[0], "nowhere", "", None, " ".join(words[10:30]), "one"]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    texts = corpus + ["here are two  Words in a long enough text", "two other words in a long enough text", "some two words", "twowords"]
+
+    def has(item, text):
+        n = len(WORD.findall(item or ""))
+        a = shingle_set(item, 5)
+        b = shingle_set(text, 5) | (shingle_set(text, n) if 0 < n < 5 else set())
+        return bool(a) and len(a & b) >= 0.8 * len(a)
+
+    want = {(d, i) for d, t in enumerate(texts) for i, q in enumerate(items) if has(q, t)}
+    n = len(corpus)
+    assert {(n, 0), (n + 2, 0), (8, 1), (8, 2), (8, 6), (3, 7), (5, 0)} <= want and not {(n + 1, 0), (n + 3, 0)} & want
+    docs, shuffled = table(spark, texts), decontaminate.BROADCAST_SHINGLES
+    try:
+        for most in (shuffled, -1):
+            decontaminate.BROADCAST_SHINGLES = most
+            assert {(r.doc_id, r.item_id) for r in decontaminate.contained_items(docs, bench, short_items=True).collect()} == want
+    finally:
+        decontaminate.BROADCAST_SHINGLES = shuffled
+    clean = decontaminate.without_contaminated(docs, bench, short_items=True)
+    assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {d for d, _ in want}
+
+
 def test_secrets_base_spans_and_ownership(spark):
     key = "AKIA" + "Z9" * 8
     texts = ['x Token = "abcdef12" é password: abc secret=token=q', key, "f" * 24 + "g", None, "", "A1b2C3d4E5f6G7h8I9j0K1" + " é", "Zz1" * 9, "Zz1" * 9]

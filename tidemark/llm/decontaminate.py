@@ -12,6 +12,9 @@ Candidates are verified on the shingles themselves.
 
 Words are split at ASCII white space, A-Z folded. An item or a document of fewer
 than five words is one shingle; without words it has none and matches nothing.
+By that rule, which is the SQL's, such an item is found only as a whole document.
+With ``short_items`` it is also found inside longer documents: these get their
+shingles of the lengths that occur among the benchmark's short items too.
 Null ids are kept. Repeats of a document or an item (equal id and text) count once.
 """
 
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import keyed
-from tidemark.llm.shingles import with_hashes, with_strings, with_words
+from tidemark.llm.shingles import with_hashes, with_short_hashes, with_short_strings, with_strings, with_words
 from tidemark.operators.control import materialize
 
 WIDTH = 5
@@ -40,7 +43,7 @@ def _signatures(items: DataFrame, containment: float) -> DataFrame:
 
 def contained_items(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    containment: float = CONTAINMENT, width: int = WIDTH,
+    containment: float = CONTAINMENT, width: int = WIDTH, short_items: bool = False,
 ) -> DataFrame:
     """``(rk, doc id, item id, n_shared, n_item, containment)`` of every
     document and item with that containment or more; ``rk`` is the document's
@@ -49,23 +52,26 @@ def contained_items(
     items = with_words(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")), "text", "words", fold=True)
     items = with_strings(with_hashes(items, "words", "hashes", width), "words", "grams", width)
     items = materialize(
-        items.select("item_id", F.xxhash64("item_id", "text").alias("item"), "hashes", "grams").dropDuplicates(["item"]), "benchmark-items"
+        items.select("item_id", F.xxhash64("item_id", "text").alias("item"), F.size("words").alias("n_words"), "hashes", "grams").dropDuplicates(["item"]),
+        "benchmark-items",
     )
+    # at most width - 1 numbers
+    lengths = sorted(r.n_words for r in items.where((F.col("n_words") > 0) & (F.col("n_words") < width)).select("n_words").distinct().collect()) if short_items else []
     probes = materialize(_signatures(items, containment).distinct(), "benchmark-signatures")
     grams = items.select("item", "item_id", F.col("grams").alias("item_grams"))
     texts = keyed(docs, id_col, text_col)
     worded = with_words(texts, "text", "words", fold=True)
     # explode_outer: a plain explode would push a test of the array's size below
     # the shingling, and evaluate the words again for every shingle
-    hashed = with_hashes(worded, "words", "hashes", width)
+    hashed = with_short_hashes(with_hashes(worded, "words", "hashes", width), "words", "hashes", lengths)
     if (items.agg(F.sum(F.size("grams"))).first()[0] or 0) <= BROADCAST_SHINGLES:
         # one scan: a document's words stay with its candidates, nothing is shuffled but results
         found = hashed.select("rk", "doc_id", "words", F.explode_outer("hashes").alias("h")).join(F.broadcast(probes), "h")
-        whole = with_strings(found.join(F.broadcast(grams), "item"), "words", "grams", width)
+        whole = with_short_strings(with_strings(found.join(F.broadcast(grams), "item"), "words", "grams", width), "words", "grams", lengths)
     else:
         pairs = materialize(hashed.select("rk", F.explode_outer("hashes").alias("h")).join(probes, "h").select("rk", "item").distinct(), "contained-candidates")
         wanted = pairs.groupBy("rk").agg(F.collect_set("item").alias("items"))
-        listed = with_strings(worded.join(wanted, "rk").dropDuplicates(["rk"]), "words", "grams", width)
+        listed = with_short_strings(with_strings(worded.join(wanted, "rk").dropDuplicates(["rk"]), "words", "grams", width), "words", "grams", lengths)
         whole = listed.select("rk", "doc_id", "grams", F.explode("items").alias("item")).join(grams, "item")
     shared = F.size(F.array_intersect("grams", "item_grams"))
     return (

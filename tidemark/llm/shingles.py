@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,6 +31,27 @@ def with_hashes(df: DataFrame, words: str, out: str, width: int = 5) -> DataFram
     return df.withColumn(out, hashes).drop(h)
 
 
+def with_short_hashes(df: DataFrame, words: str, out: str, lengths: Sequence[int]) -> DataFrame:
+    """Adds to the hashes in ``out`` those of all runs of words of each of the
+    ``lengths``, hashed like a whole text of so few words."""
+    for n in lengths:
+        df = _with_runs(df, words, out, n, lambda run, n=n: F.xxhash64(F.lit(n), run))
+    return df
+
+
+def with_short_strings(df: DataFrame, words: str, out: str, lengths: Sequence[int]) -> DataFrame:
+    """The same for the shingles as texts."""
+    for n in lengths:
+        df = _with_runs(df, words, out, n, lambda run: run)
+    return df
+
+
+def _with_runs(df: DataFrame, words: str, out: str, n: int, of: Callable[[Column], Column]) -> DataFrame:
+    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+    runs = F.transform(starts, lambda i: of(F.array_join(F.slice(words, i, n), " ")))
+    return df.withColumn(out, F.when(F.size(words) >= n, F.array_union(out, runs)).otherwise(F.col(out)))
+
+
 def with_strings(df: DataFrame, words: str, out: str, width: int = 5) -> DataFrame:
     """Distinct shingles of a word array as texts."""
     each = F.transform(F.sequence(F.lit(0), F.size(words) - width), lambda i: F.concat_ws(" ", *[F.get(F.col(words), i + k) for k in range(width)]))
