@@ -202,6 +202,17 @@ def test_secrets_base_spans_and_ownership(spark):
     assert secrets.scan(empty(spark), F.col("source"), F.col("source")).count() == 0
 
 
+def test_a_key_in_many_repositories_of_one_owner_is_copied(spark):
+    many, few, base = "Qq1" * 9, "Zz2" * 9, "f0" * 13
+    rows = [(i, f"{many} {base}", "hot", f"l{i % 4}") for i in range(40)] + [(100 + i, few, "hot", f"l{i % 2}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: r for r in secrets.scan(df, F.concat_ws("/", "source", "lang"), F.col("source")).collect()}
+    for i in range(40):
+        assert got[i].joined == got[i].base_joined == "hex:28:54"
+        assert [(s.owners, s.repositories, s.live) for s in got[i].base] == [(1, 4, False)]
+    assert all(got[100 + i].joined == "owned:0:27" for i in range(6))
+
+
 def test_quality_learns_and_ignores_held_out_labels(spark):
     texts = [("good words make calm sentences here " * 8) if i % 2 else ("$$$ #### 111 &&& " * 20) for i in range(300)] + [None, ""]
     docs = table(spark, texts)

@@ -2,8 +2,9 @@
 
 Base patterns give spans in every text. Beside them, long mixed tokens are
 candidates. The hash of every candidate value is counted over the whole corpus
-by distinct repository and owner: a value that one owner alone uses looks live,
-one that many owners have copied is an example. Live-looking candidates outside
+by distinct repository and owner: a value that one owner alone uses, in few
+repositories, looks live; one that many owners have copied, or that one owner has
+spread over many repositories, is an example. Live-looking candidates outside
 the base spans are added as spans of kind ``owned``; base spans all stay and are
 only told apart.
 
@@ -31,6 +32,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "owned")
 #: A value of more owners than this is a copied example.
 MAX_OWNERS = 1
+#: So is one in more repositories than this, even if one owner has them all.
+MAX_REPOSITORIES = 2
 
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -68,7 +71,10 @@ def _joined(spans: Column) -> Column:
     )
 
 
-def scan(docs: DataFrame, repository: Column, owner: Column, id_col: str = "doc_id", text_col: str = "text", max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan(
+    docs: DataFrame, repository: Column, owner: Column, id_col: str = "doc_id", text_col: str = "text",
+    max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES,
+) -> DataFrame:
     """Per row of ``docs``: id, ``base`` and ``spans``, arrays of (start, kind,
     end, value hash, owners, repositories, live) by start and kind, and ``joined``
     texts of both. ``kind`` indexes ``KINDS``."""
@@ -94,7 +100,7 @@ def scan(docs: DataFrame, repository: Column, owner: Column, id_col: str = "doc_
     )
     judged = (
         spans.select("rk", "start", "kind", "end", "value").distinct().join(owners, "value")
-        .withColumn("live", F.col("owners") <= max_owners)
+        .withColumn("live", (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories))
         .where("kind < 3 OR live")
         .groupBy("rk").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "value", "owners", "repositories", "live"))).alias("spans"))
     )
