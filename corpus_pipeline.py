@@ -44,9 +44,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: every document as often as it is taken."""
-    taken = mixing.mix(docs).where("times > 0").select(F.col("hash").alias("_hash"), "times", F.col("source").alias("_source")).distinct()
+    taken = mixing.mix(docs).where("times > 0").select(F.col("hash").alias("_hash"), F.col("times").alias("_times"), F.col("source").alias("_source")).distinct()
     same = (mixing.document_hash("doc_id", "text") == F.col("_hash")) & F.col("source").eqNullSafe(F.col("_source"))
-    return docs.join(taken, same).withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select(*docs.columns)
+    return docs.join(taken, same).withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

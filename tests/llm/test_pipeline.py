@@ -121,3 +121,116 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     got = rows_of(corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), ""))
     assert got == without_near(spark, rows)
     assert sum(got.values()) < len(rows) - 20 and sum(d is None for d, *_ in got.elements()) > 15
+
+
+def scored(spark, rows, labels):
+    key = keys(spark, rows)
+    good = {r.rk for r in quality.score(frame(spark, rows), labels).where("predicted = 1").collect()}
+    return [r for r in rows if key[r[:2]] in good]
+
+
+def contaminated(text, items):
+    for q in items:
+        n = len(WORD.findall(q or ""))
+        a = shingle_set(q, 5)
+        b = shingle_set(text, 5) | (shingle_set(text, n) if 0 < n < 5 else set())
+        if a and len(a & b) >= 0.8 * len(a):
+            return True
+    return False
+
+
+def mixed(rows):
+    """Every row as often as the mix takes it, by sorting."""
+    words = lambda t: len(WORD.findall(t or ""))
+    size = Counter()
+    for _, t, s in rows:
+        size[s] += words(t)
+    weight = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate(sorted({r[2] for r in rows}, key=lambda s: (s is None, s or "")))}
+    capped = set()
+    while True:
+        free = [s for s in weight if s not in capped]
+        level = (sum(size.values()) - sum(3 * size[s] for s in capped)) / sum(weight[s] for s in free) if free else 0
+        more = {s for s in free if 3 * size[s] < weight[s] * level}
+        if not more:
+            break
+        capped |= more
+    out = Counter()
+    for s in weight:
+        if not size[s]:
+            continue
+        target = 3.0 * size[s] if s in capped else min(3.0 * size[s], weight[s] * level)
+        times = math.floor(target / size[s])
+        budget, below, by_hash = target - times * size[s], 0, {}
+        for r in rows:
+            if r[2] == s and words(r[1]):
+                name = f"{'' if r[0] is None else r[0]}:{r[1]}"
+                by_hash.setdefault(int(hashlib.md5(name.encode()).hexdigest()[:15], 16), []).append(r)
+        for h in sorted(by_hash):
+            n = sum(words(r[1]) for r in by_hash[h])
+            more = below + n <= budget or (below <= budget and below + n - budget <= budget - below)
+            below += n
+            out.update({r: c * (times + more) for r, c in Counter(by_hash[h]).items()})
+    return +out
+
+
+def digests(spark, rows):
+    """(id, start, tokens, checksum), in order of id and row key."""
+    from tokenizers import Tokenizer
+
+    whole, key, at, out = Tokenizer.from_file(corpus_pipeline.tokenizer_path()), keys(spark, rows), 0, []
+    for r in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, key[r[:2]])):
+        ids = [*whole.encode(r[1] or "", add_special_tokens=False).ids, 2]
+        out.append((r[0], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    return out
+
+
+def found_digests(df):
+    return sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in df.collect()), key=lambda r: r[1])
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Documents (junk among them), benchmark and labels as files."""
+    folder = tmp_path_factory.mktemp("tables")
+    rnd, rows = random.Random(3), documents()
+    junk = [(None if i % 3 == 0 else 1000 + i, "$$$ #### 111 &&& " * (10 + i), "abc"[i % 3]) for i in range(40)]
+    rows += junk
+    items = [rows[20][1], random_text(rnd, 20), None, "", " ".join(next(r[1] for r in rows if r[0] == 500).split()[20:23])]
+    labels = [(r[0], int(r not in junk), 0) for r in rows if r[0] is not None and r[1] and r[1].strip()] + [(None, 1, 0), (1001, None, 0)]
+    frame(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return SimpleNamespace(folder=str(folder), rows=rows, junk=junk, items=items, labels=spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def test_keep_good(spark, tables):
+    got = rows_of(corpus_pipeline.keep_good(spark, frame(spark, tables.rows), tables.folder))
+    assert got == Counter(scored(spark, tables.rows, tables.labels))
+    assert not set(got) & set(tables.junk) and {r for r in tables.rows if len(r[1] or "") > 200} - set(tables.junk) <= set(got)
+
+
+def test_drop_contaminated(spark, tables):
+    got = rows_of(corpus_pipeline.drop_contaminated(spark, frame(spark, tables.rows), tables.folder))
+    assert got == Counter(r for r in tables.rows if not contaminated(r[1], tables.items))
+    assert sum(got.values()) < len(tables.rows) - 2
+
+
+def test_mix_sources(spark, tables):
+    got = rows_of(corpus_pipeline.mix_sources(spark, frame(spark, tables.rows), tables.folder))
+    assert got == mixed(tables.rows)
+    assert len(set(got.values())) > 1
+
+
+def test_write_token_files(spark, tables):
+    pytest.importorskip("public_tokenizers")
+    got = found_digests(corpus_pipeline.write_token_files(spark, frame(spark, tables.rows), tables.folder))
+    assert got == digests(spark, tables.rows)
+
+
+def test_run(spark, tables):
+    pytest.importorskip("public_tokenizers")
+    rows = list(without_near(spark, scored(spark, tables.rows, tables.labels)).elements())
+    rows = list(mixed([r for r in rows if not contaminated(r[1], tables.items)]).elements())
+    assert any(r[0] is None for r in rows) and any(r[0] == 500 for r in rows)
+    assert found_digests(corpus_pipeline.run(spark, tables.folder)) == digests(spark, rows)
