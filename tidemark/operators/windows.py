@@ -8,6 +8,8 @@ frame through a single task.
   range-partitioned sort: each sort partition numbers its own values,
   partition offsets come from a tiny per-partition count table, and ranks
   join back by value;
+* a global row position or running total sorts by range the same way and adds
+  what the sort partitions before hold together;
 * a global top-n by dense rank takes the n largest distinct values with a
   bounded ``orderBy().limit(n)`` and broadcasts those n rows back.
 """
@@ -16,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import control
@@ -41,6 +43,52 @@ def top_n_per_group(
 _POSITION_BITS = 33
 
 
+def _parts(tagged: DataFrame, name: str) -> DataFrame:
+    """Sorted rows with their ``_id``, written once so that every reader sees
+    the same numbering even if a task re-runs, split into ``_part`` (sort
+    partition) and ``_pos`` (position in it)."""
+    written = control.materialize(tagged, name)
+    return written.select(
+        *[c for c in written.columns if c != "_id"],
+        F.shiftright("_id", _POSITION_BITS).alias("_part"),
+        F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos"),
+    )
+
+
+def _offsets(per_part: DataFrame, value: str) -> DataFrame:
+    """``_offset``: what all earlier sort partitions hold together. One row per
+    sort partition (bounded by the shuffle width): safe to window globally and
+    to broadcast."""
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return per_part.select("_part", F.sum(value).over(before).alias("_offset"))
+
+
+def _positioned(tagged: DataFrame, name: str) -> DataFrame:
+    """Sorted rows with ``_position`` from 1 on: the offset of the row's sort
+    partition plus its position inside."""
+    rows = _parts(tagged, name)
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    return (
+        rows.join(F.broadcast(_offsets(counts, "_n")), "_part")
+        .withColumn("_position", F.coalesce("_offset", F.lit(0)) + F.col("_pos") + 1)
+        .drop("_part", "_pos", "_offset")
+    )
+
+
+def global_position(
+    df: DataFrame, order: Sequence[Column], alias: str = "position", materialize_input: bool = True
+) -> DataFrame:
+    """``row_number() over (order by ...)`` without a single-partition window.
+
+    Spark's range-partitioned sort deals the rows, so rows with equal sort
+    keys land in one task: give keys that tell them apart. Sampling the sort's
+    ranges reads the input a second time, so by default it is written once."""
+    if materialize_input:
+        df = control.materialize(df, "position-input")
+    tagged = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    return _positioned(tagged, "position-sorted").withColumnRenamed("_position", alias)
+
+
 def dense_rank_global(
     df: DataFrame,
     value: str,
@@ -74,27 +122,9 @@ def dense_rank_global(
         vals = vals.repartitionByRange(partitions, order).sortWithinPartitions(order)
     else:
         vals = vals.orderBy(order)
-    tagged = control.materialize(
+    ranked_vals = _positioned(
         vals.withColumn("_id", F.monotonically_increasing_id()), "dense-rank-sorted"
-    )
-    tagged = tagged.select(
-        F.col(value).alias("_v"),
-        F.shiftright("_id", _POSITION_BITS).alias("_part"),
-        F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos"),
-    )
-    # one row per sort partition: bounded by the shuffle width, safe to
-    # window globally and broadcast
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_part",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_offset"),
-    )
-    ranked_vals = tagged.join(F.broadcast(offsets), "_part").select(
-        "_v", (F.col("_offset") + F.col("_pos") + 1).cast("int").alias(rank_col)
-    )
+    ).select(F.col(value).alias("_v"), F.col("_position").cast("int").alias(rank_col))
     # null-safe equality so null values find their (last) rank
     out = df.join(ranked_vals, df[value].eqNullSafe(F.col("_v")), how="inner")
     return out.drop("_v")
@@ -134,11 +164,27 @@ def running_total(
 ) -> DataFrame:
     """Cumulative sum ``rows between unbounded preceding and current row``.
 
-    Without ``partition_by`` this is one global window, meant for frames with
-    one row per calendar unit (days), whose size does not grow with the data.
+    Without ``partition_by`` the rows are range-sorted and written once; every
+    sort partition sums its own rows, and the totals of the partitions before
+    it (one row each) are added, so no task sees more than one range. Rows with
+    equal order values are summed in the order they are stored, and spread over
+    sort partitions like any others; null order values come first. A null value
+    adds nothing; rows before the first value have a null total.
     """
-    w = Window.orderBy(order_col)
+    rows_before = (Window.unboundedPreceding, Window.currentRow)
     if partition_by:
-        w = Window.partitionBy(*partition_by).orderBy(order_col)
-    w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(alias, F.sum(value_col).over(w))
+        w = Window.partitionBy(*partition_by).orderBy(order_col).rowsBetween(*rows_before)
+        return df.withColumn(alias, F.sum(value_col).over(w))
+    stored = control.materialize(
+        df.withColumn("_tie", F.monotonically_increasing_id()), "running-total-input"
+    )
+    tagged = stored.orderBy(order_col, "_tie").withColumn("_id", F.monotonically_increasing_id())
+    rows = _parts(tagged.drop("_tie"), "running-total-sorted")
+    sums = rows.groupBy("_part").agg(F.sum(value_col).alias("_sum"))
+    own = F.sum(value_col).over(Window.partitionBy("_part").orderBy("_pos").rowsBetween(*rows_before))
+    joined = rows.withColumn("_own", own).join(F.broadcast(_offsets(sums, "_sum")), "_part")
+    total = F.when(F.col("_offset").isNull(), F.col("_own")).otherwise(
+        F.col("_offset") + F.coalesce("_own", F.lit(0))
+    )
+    own_type = rows.select(F.sum(value_col).alias("s")).schema["s"].dataType
+    return joined.withColumn(alias, total.cast(own_type)).select(*df.columns, alias)
