@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, mixing, ngram_join, quality, revisits, secrets, suffix_dedup, token_counts, token_files
+from tidemark.llm import (
+    decontaminate, fingerprints, hard_negatives, importance, main_text, mixing, ngram_join, quality, revisits, secrets, suffix_dedup, token_counts, token_files,
+)
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +147,62 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(manifest, folder)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, in the benchmark's proportions."""
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+           FROM documents),
+u AS (SELECT r, unnest(ws) AS w FROM d),
+v AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+      FROM benchmark),
+x AS (SELECT DISTINCT w, hex(w) AS h FROM (SELECT w FROM u UNION ALL SELECT w FROM v)),
+-- crc32 of the word's bytes: take in a byte, then eight shifts (the -1s)
+c AS (SELECT w, xor(list_reduce([4294967295::BIGINT] || flatten([[('0x' || substr(h, 2 * i + 1, 2))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR i IN range(0, length(h) // 2)]),
+                    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 10000 AS bucket FROM x),
+s AS (SELECT bucket, count(*) AS n FROM u JOIN c USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM v JOIN c USING (w) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+                  / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+      FROM (SELECT DISTINCT bucket FROM c) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+f AS (SELECT r, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM u JOIN c USING (w) JOIN g USING (bucket) GROUP BY r),
+k AS (SELECT d.doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+             CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM d LEFT JOIN f USING (r)),
+o AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place FROM k)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM k WHERE n_features >= 20) THEN place END AS rank FROM o
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth row is an anchor; every seventh has another's label."""
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = r"""
+WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * v::DOUBLE) FOR v IN embedding] AS x
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.id % 100 = 0 AND a.id <> b.id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -156,5 +214,11 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_output": op10_token_output,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_html_extraction": op13_html_extraction,
+}
+ORACLE: dict[str, str] = {
+    "op2_source_mixing": OP2_SQL, "op5_benchmark_decontamination": OP5_SQL,
+    "op11_importance_resampling": OP11_SQL, "op12_hard_negatives": OP12_SQL,
 }
-ORACLE: dict[str, str] = {"op2_source_mixing": OP2_SQL, "op5_benchmark_decontamination": OP5_SQL}
