@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import control as M
 from tidemark.operators import joins as J
 from tidemark.sinks import stream as K
+from tidemark.sinks import versions
 from tidemark.sources import jdbc as JD
 from tidemark.sources import stream as SS
 from tidemark.streaming import events as E
@@ -174,10 +175,10 @@ def test_large_state_store_option(spark, tmp):
                                 ("b", "2024-01-01T00:02:00Z", 4)], 1e9)
     with M.session_conf(spark, LARGE_STATE_CONF):
         s = SS.stream_files(spark, f"{tmp}/src", "json", SCHEMA)
-        q = K.start_foreach_batch(E.count_by(s, ["user"]), K.overwrite_table_each_batch(f"{tmp}/out"),
+        q = K.start_foreach_batch(E.count_by(s, ["user"]), versions.replace_each_batch(f"{tmp}/out"),
                                   f"{tmp}/ckpt", output_mode="complete", trigger=runner.AVAILABLE_NOW)
         runner.await_all([q])
-    got = sorted((r.user, r["count"]) for r in spark.read.parquet(f"{tmp}/out").collect())
+    got = sorted((r.user, r["count"]) for r in versions.read(spark, f"{tmp}/out").collect())
     assert got == [("a", 2), ("b", 1)]
 
 
@@ -187,7 +188,7 @@ def test_state_width_is_fixed_per_query_and_restored(spark, tmp):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with runner.state_width(spark, 3) as n:
         s = SS.stream_files(spark, f"{tmp}/src", "json", SCHEMA)
-        q = K.start_foreach_batch(E.count_by(s, ["user"]), K.overwrite_table_each_batch(f"{tmp}/out"),
+        q = K.start_foreach_batch(E.count_by(s, ["user"]), versions.replace_each_batch(f"{tmp}/out"),
                                   f"{tmp}/ckpt", output_mode="complete", trigger=runner.AVAILABLE_NOW)
     runner.await_all([q])
     assert n == 3 and spark.conf.get("spark.sql.shuffle.partitions") == before

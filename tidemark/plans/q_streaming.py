@@ -18,12 +18,14 @@ from tidemark.plans.q_functions import RULES_SQL, TEST_RULES
 from tidemark.plans.registry import register
 from tidemark.session import scratch_path
 from tidemark.sinks import stream as K
+from tidemark.sinks import versions
 from tidemark.sources import stream as SS
 from tidemark.sources import tables as T
 from tidemark.streaming import events as E
-from tidemark.streaming import runner
+from tidemark.streaming import replay, runner
 from tidemark.streaming import transactions as TX
 
+#: Files of a replay at least, and micro-batches of one that is throttled.
 REPLAY_FILES = 8
 
 # ---------------------------------------------------------------- oracle SQL pieces
@@ -62,24 +64,24 @@ def _activity_static(spark, sf_dir, copies_of: str | None = None):
     return act
 
 
-def _replay_activity(spark, sf_dir, n_files=REPLAY_FILES, copies_of=None):
-    """Write the activity replay as ``n_files`` JSON files (one parallel
-    write); return (path, schema). A file stream needs an explicit schema;
-    it is the declared schema of the frame written, so no inference pass
-    reads the replay (``src_json_dir`` shows the inferred form, A3)."""
-    path = scratch_path(spark, "activity-json")
-    static = _activity_static(spark, sf_dir, copies_of)
-    static.repartition(n_files).write.json(path)
-    return path, static.schema
+def _replay(spark, static, name, fmt, batches=None):
+    """Write a replay's files (one parallel write, rows dealt at random) and
+    return its folder and the files of a micro-batch, or None for all in one."""
+    path = scratch_path(spark, name)
+    n_files = replay.files_for(static, REPLAY_FILES)
+    static.repartition(n_files).write.format(fmt).save(path)
+    return path, batches and -(-n_files // batches)
 
 
-def _activity_stream(spark, sf_dir, max_files=None, n_files=REPLAY_FILES, copies_of=None):
-    """The replay as a file stream. ``max_files`` throttles micro-batches;
-    queries whose result depends on arrival order (append with a watermark,
-    dedup with a watermark) take the whole replay in one batch, while the
-    multi-batch late-data rules are tested on ordered fixtures."""
-    path, schema = _replay_activity(spark, sf_dir, n_files, copies_of)
-    stream = SS.stream_files(spark, path, "json", schema, max_files_per_trigger=max_files)
+def _activity_stream(spark, sf_dir, batches=None, copies_of=None):
+    """The replay as a file stream of so many micro-batches. A file stream needs
+    an explicit schema; it is the declared schema of the frame written, so no
+    inference pass reads the replay (``src_json_dir`` shows the inferred form,
+    A3). Without ``batches`` all comes in one; ``q_resume`` has the queries whose
+    result depends on arrival order, over several runs."""
+    static = _activity_static(spark, sf_dir, copies_of)
+    path, max_files = _replay(spark, static, "activity-json", "json", batches)
+    stream = SS.stream_files(spark, path, "json", static.schema, max_files_per_trigger=max_files)
     return E.with_event_time_from_ns(stream, "Creation_Time")
 
 
@@ -94,10 +96,10 @@ def _run_files(spark, df, name, output_mode="append"):
 def _run_complete(spark, df, name):
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     with runner.state_width(spark):
-        q = K.start_foreach_batch(df, K.overwrite_table_each_batch(out), ckpt,
+        q = K.start_foreach_batch(df, versions.replace_each_batch(out), ckpt,
                                   output_mode="complete", trigger=runner.AVAILABLE_NOW)
     runner.await_all([q])
-    return spark.read.parquet(out)
+    return versions.read(spark, out, df.schema)
 
 
 def _run_update(spark, df, name, keys):
@@ -106,7 +108,8 @@ def _run_update(spark, df, name, keys):
         q = K.start_foreach_batch(df, K.append_updates_each_batch(out), ckpt,
                                   output_mode="update", trigger=runner.AVAILABLE_NOW)
     runner.await_all([q])
-    return K.latest_state(spark.read.parquet(out), keys)
+    log = spark.read.schema(f"{df.schema.toDDL()}, update_batch int").parquet(out)
+    return K.latest_state(log, keys)
 
 
 # ---------------------------------------------------------------- queries
@@ -118,7 +121,7 @@ def _run_update(spark, df, name, keys):
 )
 def src_stream_json(spark, sf_dir):
     """Throttled JSON file stream, one file per micro-batch, appended to Parquet."""
-    s = _activity_stream(spark, sf_dir, max_files=1)
+    s = _activity_stream(spark, sf_dir, batches=8)
     return _run_files(spark, s.select("Index", "User", "gt", "value"), "src-stream-json")
 
 
@@ -127,7 +130,7 @@ def src_stream_json(spark, sf_dir):
     "SELECT event_type AS gt, COUNT(*) AS count FROM events GROUP BY event_type",
 )
 def st_count_by_key(spark, sf_dir):
-    s = _activity_stream(spark, sf_dir, max_files=2)
+    s = _activity_stream(spark, sf_dir, batches=4)
     return _run_complete(spark, E.count_by(s, ["gt"]), "count-by-key")
 
 
@@ -138,7 +141,7 @@ def st_count_by_key(spark, sf_dir):
 def st_user_counter(spark, sf_dir):
     """Running per-user counter in update mode; the sink keeps an update log
     and the end state is its newest row per user."""
-    s = _activity_stream(spark, sf_dir, max_files=1)
+    s = _activity_stream(spark, sf_dir, batches=8)
     return _run_update(spark, E.count_by(s, ["User"]), "user-counter", ["User"])
 
 
@@ -148,7 +151,7 @@ def st_user_counter(spark, sf_dir):
 WHERE gt LIKE '%ic%' AND gt IS NOT NULL""",
 )
 def st_filter_project(spark, sf_dir):
-    s = _activity_stream(spark, sf_dir, max_files=1)
+    s = _activity_stream(spark, sf_dir, batches=8)
     out = E.pattern_filter(s, "gt", "%ic%", ("gt", "User", "event_time", "value"))
     return _run_files(spark, out, "filter-project")
 
@@ -164,7 +167,7 @@ GROUP BY CUBE (gt, "User")""",
 )
 def st_cube(spark, sf_dir):
     """Streaming cube over (gt, User): mean of every numeric column."""
-    s = _activity_stream(spark, sf_dir, max_files=2)
+    s = _activity_stream(spark, sf_dir, batches=4)
     s = s.select("gt", "User", "Index", money("value").alias("value"))
     out = _run_complete(spark, E.device_cube(s, ["gt", "User"]), "cube")
     return out.withColumn("avg_value", F.col("avg_value").cast("double"))
@@ -179,13 +182,13 @@ SELECT time_bucket(INTERVAL '10 minutes', event_time) AS window_start,
 FROM ({ACTIVITY_SQL}) GROUP BY 1, 2""",
 )
 def st_tumbling(spark, sf_dir):
-    s = _activity_stream(spark, sf_dir, max_files=2)
+    s = _activity_stream(spark, sf_dir, batches=4)
     return _run_complete(spark, E.windowed_count(s, "event_time", "10 minutes"), "tumbling")
 
 
 @register("st_sliding", SLIDING_SQL)
 def st_sliding(spark, sf_dir):
-    s = _activity_stream(spark, sf_dir, max_files=2)
+    s = _activity_stream(spark, sf_dir, batches=4)
     return _run_complete(
         spark, E.windowed_count(s, "event_time", "10 minutes", "5 minutes"), "sliding"
     )
@@ -195,7 +198,7 @@ def st_sliding(spark, sf_dir):
 def st_watermark_complete(spark, sf_dir):
     """Watermark + sliding windows in complete mode: nothing is dropped and
     no state is freed (complete mode keeps every window)."""
-    s = _activity_stream(spark, sf_dir, max_files=2)
+    s = _activity_stream(spark, sf_dir, batches=4)
     agg = E.windowed_count(s, "event_time", "10 minutes", "5 minutes", watermark="30 minutes")
     return _run_complete(spark, agg, "watermark-complete")
 
@@ -209,7 +212,7 @@ WHERE window_end <= (SELECT max(event_time) - INTERVAL '30 minutes' FROM ({ACTIV
 def st_watermark_append(spark, sf_dir):
     """Append mode: each window is written once, when the watermark (max event
     time - 30 min) passes its end; windows still open at the end stay out."""
-    s = _activity_stream(spark, sf_dir, max_files=None)
+    s = _activity_stream(spark, sf_dir)
     agg = E.windowed_count(s, "event_time", "10 minutes", "5 minutes", watermark="30 minutes")
     return _run_files(spark, agg, "watermark-append")
 
@@ -222,7 +225,7 @@ GROUP BY "User" """,
 def st_dedup_watermark(spark, sf_dir):
     """Purchase events are delivered twice; dedup on (User, event_time) under
     a 5-second watermark, then count per user (complete mode)."""
-    s = _activity_stream(spark, sf_dir, max_files=None, copies_of="purchase")
+    s = _activity_stream(spark, sf_dir, copies_of="purchase")
     return _run_complete(spark, E.dedup_then_count(s, "User", "event_time", "5 seconds"),
                          "dedup-watermark")
 
@@ -239,7 +242,7 @@ def _envelope_static(spark, sf_dir, copies_of="purchase"):
         F.col("user_id").cast("binary").alias("key"),
         payload.cast("binary").alias("value"),
         F.lit("transactions").alias("topic"),
-        F.pmod(F.hash("user_id"), F.lit(3)).cast("int").alias("partition"),
+        F.pmod(F.col("user_id").cast("long"), F.lit(3)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.to_timestamp("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
@@ -271,13 +274,12 @@ def _with_faults(env):
     return env.withColumn("value", text.cast("binary"))
 
 
-def _envelope_stream(spark, sf_dir, n_files=REPLAY_FILES, max_files=2, faults=False):
+def _envelope_stream(spark, sf_dir, faults=False):
     """The topic as a file stream of several micro-batches. Its files are dealt
     at random, so most rows of the later batches are older than the newest event
     time seen, far beyond any watermark on it."""
-    path = scratch_path(spark, "tx-envelope")
     env = _envelope_static(spark, sf_dir)
-    (_with_faults(env) if faults else env).repartition(n_files).write.parquet(path)
+    path, max_files = _replay(spark, _with_faults(env) if faults else env, "tx-envelope", "parquet", batches=4)
     return SS.read_envelope_files(spark, path, max_files_per_trigger=max_files)
 
 
@@ -453,7 +455,7 @@ def st_tx_routing(spark, sf_dir):
 def topk_window_struct(spark, sf_dir):
     """``SELECT * FROM <result table> ORDER BY window DESC LIMIT 10`` over a
     named streaming result (A12, G3)."""
-    s = _activity_stream(spark, sf_dir, max_files=2)
+    s = _activity_stream(spark, sf_dir, batches=4)
     agg = E.windowed_count(s, "event_time", "10 minutes", "5 minutes", flatten=False)
     table = _run_complete(spark, agg, "sliding-named")
     name = "activity_by_window"

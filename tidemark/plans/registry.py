@@ -20,6 +20,7 @@ _MODULES = (
     "tidemark.plans.q_functions",
     "tidemark.plans.q_sources",
     "tidemark.plans.q_streaming",
+    "tidemark.plans.q_resume",
 )
 
 

@@ -2,21 +2,21 @@
 
 Every durable sink takes a checkpoint location: the query's offsets and
 state live there, so a restarted query resumes where it stopped and, with
-the file sink or ``foreachBatch`` + overwrite-by-batch, writes each batch
-exactly once. The memory sink keeps the whole result on the driver and is
+the file sink or ``foreachBatch`` by batch number (``sinks.versions`` for results
+that replace each other), writes each batch exactly once. The memory sink keeps the whole result on the driver and is
 for tests only.
 """
 
 from __future__ import annotations
 
-
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidemark.sinks import versions
+
 
 def _trigger(writer: DataStreamWriter, trigger: Mapping | None) -> DataStreamWriter:
     return writer.trigger(**trigger) if trigger else writer
@@ -83,16 +83,6 @@ def start_foreach_batch(
     return _trigger(writer, trigger).start()
 
 
-def overwrite_table_each_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body for complete-mode results: each batch's full result
-    replaces the table (a distributed write; nothing goes to the driver)."""
-
-    def _write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    return _write
-
-
 def append_updates_each_batch(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch body for update-mode results: append the changed rows
     tagged with the batch id; ``latest_state`` folds them to the end state.
@@ -116,24 +106,23 @@ def latest_state(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     return newest.select(*keys, *rest)
 
 
-def compact_updates(updates: DataFrame, keys: Sequence[str], snapshot_path: str) -> int | None:
+def compact_updates(updates: DataFrame, keys: Sequence[str], snapshot_path: str,
+                    keep: int | None = 2) -> int | None:
     """Fold an update log once into a snapshot, so later reads need only the
-    batches after it. The snapshot is written to ``snapshot_path/upto=<B>``,
-    B being the newest batch folded (returned; one number reaches the driver).
-    It starts from the newest snapshot there, so batch folders that a snapshot
-    covers are not read again and may be retired. Nothing is deleted: older batch folders are skipped by partition pruning
-    in ``read_state`` and left to the storage's retention policy."""
+    batches after it. The snapshot is a version of the table at ``snapshot_path``,
+    numbered by the newest batch folded (returned; one number reaches the
+    driver) and visible only once it is whole. It starts from the newest
+    snapshot there, so batch folders that a snapshot covers are not read again
+    and may be retired; older snapshots are deleted but for ``keep``."""
     spark = updates.sparkSession
-    before = _newest_snapshot(spark, snapshot_path)
+    before = versions.newest(spark, snapshot_path)
     newer = updates if before is None else updates.where(F.col("update_batch") > before)
     upto = newer.agg(F.max("update_batch")).first()[0]
     if upto is None:
         return before
     newer = newer.where(F.col("update_batch") <= upto)
     state = latest_state(newer if before is None else _on_snapshot(spark, snapshot_path, before, newer), keys)
-    state.withColumn("update_batch", F.lit(int(upto))).write.mode("overwrite").parquet(
-        f"{snapshot_path}/upto={int(upto)}")
-    return int(upto)
+    return versions.publish(state.withColumn("update_batch", F.lit(int(upto))), snapshot_path, int(upto), keep)
 
 
 def read_state(spark, updates_path: str, keys: Sequence[str],
@@ -142,53 +131,18 @@ def read_state(spark, updates_path: str, keys: Sequence[str],
     the batch folders written after it (pruned by the ``update_batch``
     folder value), folded with ``latest_state``."""
     updates = spark.read.parquet(updates_path)
-    upto = _newest_snapshot(spark, snapshot_path) if snapshot_path else None
+    upto = versions.newest(spark, snapshot_path) if snapshot_path else None
     if upto is None:
         return latest_state(updates, keys)
     return latest_state(_on_snapshot(spark, snapshot_path, upto, updates.where(F.col("update_batch") > upto)), keys)
 
 
 def _on_snapshot(spark, snapshot_path: str, upto: int, newer: DataFrame) -> DataFrame:
-    snap = spark.read.parquet(f"{snapshot_path}/upto={upto}")
+    snap = versions.read(spark, snapshot_path, version=upto)
     return snap.withColumn("update_batch", F.col("update_batch").cast("int")).unionByName(
         newer.withColumn("update_batch", F.col("update_batch").cast("int")))
 
 
-def _newest_snapshot(spark, snapshot_path: str) -> int | None:
-    """Largest ``upto=<B>`` folder with committed files; one number reaches the
-    driver. Only a missing folder means that there is no snapshot: any other
-    error is raised."""
-    try:
-        snapshots = spark.read.parquet(snapshot_path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    newest = snapshots.agg(F.max("upto")).first()[0]
-    return None if newest is None else int(newest)
-
-
-def split_each_batch(
-    valid_path: str, invalid_path: str, flag: str = "is_valid",
-    project: Callable[[DataFrame], DataFrame] | None = None,
-) -> Callable[[DataFrame, int], None]:
-    """One pass over each batch writing valid and rejected rows to two
-    outputs (I12), instead of two queries that each re-read the source. The
-    batch is persisted so the two writes do not recompute it."""
-
-    def _write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for cond, path in ((F.col(flag), valid_path), (~F.col(flag), invalid_path)):
-                part = batch.filter(cond)
-                part = project(part) if project else part
-                part.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        finally:
-            batch.unpersist()
-
-    return _write
-
-
 def start_console(
     df: DataFrame, output_mode: str = "append", truncate: bool = False, num_rows: int = 20,
     trigger: Mapping | None = None,

@@ -12,6 +12,7 @@ import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
     IntegerType,
@@ -94,6 +95,47 @@ def kafka_options(
     return opts
 
 
+EARLIEST, LATEST = -2, -1
+Offsets = Mapping[str, Mapping[int, int]]
+
+
+def offset_range(envelope: DataFrame, starting: Offsets, ending: Offsets | None = None) -> DataFrame:
+    """The records of chosen partitions between two offsets (A9-A11), from a
+    frame with the envelope columns, bounded or streaming.
+
+    ``starting`` is ``{topic: {partition: offset}}``, its offset included, and
+    names all partitions that are read; ``ending`` gives the first offset that
+    is not read any more. ``EARLIEST`` and ``LATEST`` leave a side open; a
+    partition without an ending is read on. The position of a streaming reader
+    is kept in its checkpoint alone: nothing is committed to the topic."""
+    wanted = F.lit(False)
+    for topic, partitions in starting.items():
+        for partition, first in partitions.items():
+            last = ((ending or {}).get(topic) or {}).get(partition, LATEST)
+            if first == LATEST or last == EARLIEST:
+                raise ValueError("a range starts at the latest or ends at the earliest offset")
+            here = (F.col("topic") == topic) & (F.col("partition") == partition)
+            if first != EARLIEST:
+                here = here & (F.col("offset") >= first)
+            if last != LATEST:
+                here = here & (F.col("offset") < last)
+            wanted = wanted | here
+    return envelope.where(wanted)
+
+
+def kafka_range_options(bootstrap_servers: str, starting: Offsets, ending: Offsets | None = None) -> dict[str, str]:
+    """Options of a bounded ``spark.read.format('kafka')`` over the same range
+    as ``offset_range``. Kafka wants an ending for every partition that starts."""
+    full = {t: {p: ((ending or {}).get(t) or {}).get(p, LATEST) for p in parts} for t, parts in starting.items()}
+    as_json = lambda offsets: json.dumps({t: {str(p): o for p, o in parts.items()} for t, parts in offsets.items()})
+    return {
+        "kafka.bootstrap.servers": bootstrap_servers,
+        "assign": json.dumps({t: list(parts) for t, parts in starting.items()}),
+        "startingOffsets": as_json(starting),
+        "endingOffsets": as_json(full),
+    }
+
+
 def read_kafka(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """Kafka topic as a streaming frame with the envelope columns.
     Needs the spark-sql-kafka connector on the class path."""

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import contextlib
+import threading
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark.operators import control
 
@@ -40,14 +44,6 @@ def await_all(queries: Iterable[StreamingQuery], timeout: float | None = None) -
             raise RuntimeError(f"streaming query {q.name or q.id} failed: {exc}")
 
 
-def await_any(spark: SparkSession, timeout: float | None = None) -> None:
-    """Block until any active query ends (one failure ends the wait)."""
-    if timeout is None:
-        spark.streams.awaitAnyTermination()
-    else:
-        spark.streams.awaitAnyTermination(timeout)
-
-
 def stop_all(spark: SparkSession) -> None:
     for q in spark.streams.active:
         q.stop()
@@ -76,3 +72,85 @@ def input_rows_per_batch(query: StreamingQuery) -> list[int]:
     for p in query.recentProgress:
         out.append(int(p["numInputRows"] if isinstance(p, dict) else p.numInputRows))
     return out
+
+
+class ProgressTable(StreamingQueryListener):
+    """Writes the progress of every query as rows of a Parquet table (I15, I17):
+    one row per micro-batch with input rows, late rows dropped, rows held in
+    state and the watermark. ``run`` counts the starts of one checkpointed query
+    since the listener was added, from 0.
+
+    Callbacks only keep the numbers; one thread of its own appends them to the
+    table, ``every`` batches at a time, so no job runs on Spark's event bus."""
+
+    SCHEMA = (
+        "query string, query_id string, run int, batch_id long, input_rows long,"
+        " dropped_rows long, state_rows long, watermark string"
+    )
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self.spark, self.path, self.every = spark, path, every
+        self._lock = threading.Condition()
+        self._rows: list[tuple] = []
+        self._runs: dict[str, list[str]] = defaultdict(list)
+        self._ended: set[str] = set()
+        self._writer = ThreadPoolExecutor(max_workers=1)
+        self._writes: list = []
+
+    def onQueryStarted(self, event) -> None:
+        with self._lock:
+            self._runs[str(event.id)].append(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        ops = p.stateOperators or []
+        row = (
+            p.name, str(p.id), self._runs[str(p.id)].index(str(p.runId)), int(p.batchId), int(p.numInputRows),
+            sum(int(o.numRowsDroppedByWatermark) for o in ops), sum(int(o.numRowsTotal) for o in ops),
+            (p.eventTime or {}).get("watermark"),
+        )
+        with self._lock:
+            self._rows.append(row)
+            if len(self._rows) >= self.every:
+                self._hand_over()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._lock:
+            self._ended.add(str(event.runId))
+            self._lock.notify_all()
+
+    def _hand_over(self) -> None:
+        rows, self._rows = self._rows, []
+        if rows:
+            self._writes.append(self._writer.submit(self._write, rows))
+
+    def _write(self, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def close(self, timeout: float = 60.0) -> None:
+        """Wait until the started queries' ends are reported (their progress
+        comes before), write what is left, and raise what a write raised."""
+        started = {r for runs in self._runs.values() for r in runs}
+        with self._lock:
+            self._lock.wait_for(lambda: started <= self._ended, timeout)
+            self._hand_over()
+        for write in self._writes:
+            write.result()
+        self._writer.shutdown()
+
+
+@contextlib.contextmanager
+def progress_table(spark: SparkSession, path: str, every: int = 100) -> Iterator[ProgressTable]:
+    """Record the progress of the queries that start and end inside the block."""
+    table = ProgressTable(spark, path, every)
+    spark.streams.addListener(table)
+    try:
+        yield table
+    finally:
+        try:
+            table.close()
+        finally:
+            spark.streams.removeListener(table)

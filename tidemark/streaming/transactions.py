@@ -33,6 +33,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from tidemark.functions.scalar import binary_to_string, parse_json
 from tidemark.operators import validation as V
 from tidemark.sinks import stream as K
+from tidemark.sinks import versions
 from tidemark.sources import stream as SS
 from tidemark.streaming import runner
 from tidemark.streaming.events import dedup_on_arrival, dedup_unbounded
@@ -173,7 +174,7 @@ def start(
             q_totals = K.start_files(totals, out.totals, f"{out.checkpoint}/totals",
                                      trigger=trigger)
         else:
-            sink = K.append_updates_each_batch if totals_mode == "update" else K.overwrite_table_each_batch
+            sink = K.append_updates_each_batch if totals_mode == "update" else versions.replace_each_batch
             q_totals = K.start_foreach_batch(totals, sink(out.totals), f"{out.checkpoint}/totals",
                                              output_mode=totals_mode, trigger=trigger)
     except Exception:
@@ -183,6 +184,61 @@ def start(
     return [q_valid, q_rejected, q_totals]
 
 
+#: Outputs of ``start_one_pass``.
+VALID, REJECTED, TOTALS = "valid", "rejected", "totals"
+_TOTALS_SCHEMA = "window_start timestamp, window_end timestamp, running_total long"
+
+
+def start_one_pass(
+    envelope: DataFrame,
+    path: str,
+    checkpoint: str,
+    rules: V.Rules = V.Rules(),
+    trigger: dict | None = None,
+    window: str = TOTAL_WINDOW,
+    dedup_horizon: str = DEDUP_HORIZON,
+) -> StreamingQuery:
+    """All three outputs from one query that reads the raw topic once.
+
+    Each batch is decoded, validated and de-duplicated once and persisted; its
+    valid records, its rejects and its minute sums go to three outputs of the
+    batch table at ``path``, which become visible together. Sums of a minute
+    are added over batches by ``read_one_pass``, so totals need no state, and
+    late rows count.
+
+    strict: copies of a valid record are dropped within ``dedup_horizon``; a
+    reject is its own key (its place in the topic), so every one of them gets
+    through. compat: all rows are de-duplicated on (user_id, timestamp) first,
+    without a bound.
+    """
+    validated = V.validate(V.with_event_time(decode(envelope, with_origin=True)), rules)
+    if rules.mode == "compat":
+        rows = dedup_unbounded(validated, list(rules.dedup_keys))
+    else:
+        place = ("topic", "partition", "offset")
+        keyed = validated.withColumns({
+            **{f"_{k}": F.when(F.col("is_valid"), F.col(k)) for k in rules.dedup_keys},
+            **{f"_{k}": F.when(~F.col("is_valid"), F.col(k)) for k in place},
+        })
+        names = [f"_{k}" for k in (*rules.dedup_keys, *place)]
+        rows = dedup_on_arrival(keyed, names, dedup_horizon).drop(*names)
+    outputs = {
+        VALID: lambda batch: K.as_kafka_record(batch.where("is_valid").drop(*ORIGIN), key="user_id"),
+        REJECTED: lambda batch: K.as_kafka_record(batch.where("NOT is_valid"), key="user_id"),
+        TOTALS: lambda batch: V.minute_totals(batch.where("is_valid"), window),
+    }
+    return K.start_foreach_batch(rows, versions.split_each_batch(path, outputs), checkpoint, trigger=trigger)
+
+
+def read_one_pass(spark: SparkSession, path: str, output: str) -> DataFrame:
+    """One output of ``start_one_pass``: records (``RECORD_SCHEMA``) or the sum
+    of every minute over all committed batches."""
+    if output == TOTALS:
+        sums = versions.read_output(spark, path, TOTALS, _TOTALS_SCHEMA)
+        return sums.groupBy("window_start", "window_end").agg(F.sum("running_total").alias("running_total"))
+    return records_of(versions.read_output(spark, path, output, RECORD_SCHEMA).drop("batch"))
+
+
 def _publish(rows: DataFrame, target: str | KafkaTopic, checkpoint: str,
              trigger: dict | None) -> StreamingQuery:
     records = K.as_kafka_record(rows, key="user_id")
@@ -222,13 +278,19 @@ def read_totals(spark: SparkSession, path: str, totals_mode: str = "update") ->
     if totals_mode == "update":
         log = spark.read.schema(f"{schema}, update_batch int").parquet(path)
         return K.latest_state(log, ["window_start", "window_end"])
+    if totals_mode == "complete":
+        return versions.read(spark, path, schema)
     return spark.read.schema(schema).parquet(path)
 
 
 def read_records(spark: SparkSession, path: str, with_origin: bool = False) -> DataFrame:
     """Read a record output back into transaction columns; ``with_origin``
     adds what a dead letter keeps of the record it came from."""
-    recs = spark.read.schema(RECORD_SCHEMA).parquet(path)
+    return records_of(spark.read.schema(RECORD_SCHEMA).parquet(path), with_origin)
+
+
+def records_of(recs: DataFrame, with_origin: bool = False) -> DataFrame:
+    """Transaction columns of published records."""
     schema = StructType([*V.TRANSACTION_SCHEMA.fields,
                          StructField("error_reason", StringType(), True)])
     if with_origin:
