@@ -99,9 +99,8 @@ def test_scale_conf_sizes_partitions():
 
 
 def test_hot_order_is_split_in_the_star_join(spark, tmp):
-    """A third of the order items belong to one order. With the cleaned
-    dimensions written once, every fact join reads both sides through a fresh
-    shuffle and AQE splits the hot key; joined directly, it cannot."""
+    """A third of the order items belong to one order: AQE splits it in the join
+    by order, which reads both sides through a fresh shuffle."""
     from tidemark.operators import control
     from tidemark.plans import retail as R
 
@@ -140,7 +139,9 @@ def test_hot_order_is_split_in_the_star_join(spark, tmp):
             results.append(sorted(df.collect()))
             splits.append(J.plan_text(df, "simple").count("skew=true"))
     assert results[0] == results[1]
-    assert splits[0] == 0 and splits[1] >= 1
+    # orders with their users come to the join by order through a shuffle of their
+    # own, so it is split in the plain model as well
+    assert min(splits) >= 1
     # a per-user aggregate right after the user join: the hot order's user is
     # split as well (forceOptimizeSkewedJoin, a session default)
     with control.session_conf(spark, tiny):

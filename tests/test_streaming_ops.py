@@ -134,8 +134,10 @@ def test_size_bound_counts_rows_and_bytes(spark):
     assert not J.has_bounded_size(df, max_rows=2, max_bytes=1000)
     # 150 text bytes + 8 per fixed slot and 8 per row: just above 150
     assert not J.has_bounded_size(df, max_rows=3, max_bytes=150)
-    big = spark.range(0, 100_000, numPartitions=50)
-    assert not J.has_at_most_rows(big, 10) and J.has_at_most_rows(big, 100_000)
+    assert not J.has_bounded_size(df.limit(0), max_rows=-1) and J.has_bounded_size(df.limit(0), max_rows=0)
+    # ruled out by the estimate alone: not one row of it is read
+    big = spark.range(0, 10**12, numPartitions=50).withColumn("x", F.raise_error(F.lit("read")))
+    assert J.estimated_bytes(big) > J.DEFAULT_BROADCAST_MAX_BYTES and not J.has_bounded_size(big)
 
 
 def test_aqe_switch(spark):

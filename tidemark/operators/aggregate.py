@@ -2,8 +2,8 @@
 
 Spark plans every grouped aggregate as partial (map-side) + final hash
 aggregation, so a hot key is pre-reduced on each map task before the
-shuffle. Exact distinct counts are expanded by Catalyst into a two-level
-aggregate keyed on (group, value), which spreads a hot group as well.
+shuffle. An exact distinct count is a two-level aggregate keyed on (group, value),
+which spreads a hot group as well.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, NumericType
+
+from tidemark.operators import control
 
 _FUNCS = {
     "sum": F.sum,
@@ -29,19 +31,35 @@ def aggregate(df: DataFrame, keys: Sequence[str | Column], measures: Mapping[str
     return df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in measures.items()])
 
 
-def grouped_sum(df: DataFrame, keys: Sequence[str], col: str, alias: str) -> DataFrame:
-    """Grouped sum, nulls ignored."""
-    return df.groupBy(*keys).agg(F.sum(col).alias(alias))
-
-
-def grouped_avg(df: DataFrame, keys: Sequence[str], col: str, alias: str) -> DataFrame:
-    """Grouped mean."""
-    return df.groupBy(*keys).agg(F.avg(col).alias(alias))
-
-
-def grouped_count_distinct(df: DataFrame, keys: Sequence[str], col: str, alias: str) -> DataFrame:
-    """Exact distinct count."""
-    return df.groupBy(*keys).agg(F.countDistinct(col).alias(alias))
+def count_distinct_each(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],
+                        materialize: bool = True) -> DataFrame:
+    """Exact distinct counts of several columns (E3), alias -> column.
+
+    One ``count(DISTINCT)`` is a two-level aggregate on (keys, value) already;
+    several in one ``agg`` make Catalyst expand every row once per column.
+    Here each column gets its own two levels, and the counts, one row per
+    group, are joined on the keys (null keys are a group; a group whose values
+    are all null counts 0). The narrow input is read once per column, so by
+    default it is written once."""
+    keys = list(keys)
+    names = list(dict.fromkeys(columns.values()))
+    narrow = df.select(*keys, *[F.col(c).alias(f"_v{i}") for i, c in enumerate(names)])
+    if materialize and len(columns) > 1:
+        narrow = control.materialize(narrow, "distinct-input")
+    out = None
+    for alias, column in columns.items():
+        value = f"_v{names.index(column)}"
+        counts = narrow.select(*keys, value).distinct().groupBy(*keys).agg(F.count(value).alias(alias))
+        if out is None:
+            out = counts
+            continue
+        if not keys:
+            out = out.crossJoin(counts)  # one row each
+            continue
+        right = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], alias)
+        same = [out[k].eqNullSafe(right[f"_k{i}"]) for i, k in enumerate(keys)]
+        out = out.join(right, same).drop(*[f"_k{i}" for i in range(len(keys))])
+    return out
 
 
 def grouped_max(df: DataFrame, keys: Sequence[str], col: str, alias: str) -> DataFrame:
@@ -79,10 +97,18 @@ def cube_avg(df: DataFrame, keys: Sequence[str], with_grouping_id: bool = False,
     included, for every subset of the keys (E7 / I4).
 
     A subtotal null and a real null look the same; ``with_grouping_id`` adds
-    the bit mask that tells them apart.
+    the bit mask that tells them apart. Spark's mean of a decimal is cut to a
+    few more decimals than the column has, so here it is the exact sum over
+    the count, as a double.
     """
-    cols = numeric_columns(df)
-    exprs = [F.avg(c).alias(f"{prefix}{c}") for c in cols]
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def mean(c: str) -> Column:
+        if isinstance(types[c], DecimalType):
+            return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0))
+        return F.avg(c)
+
+    exprs = [mean(c).alias(f"{prefix}{c}") for c in numeric_columns(df)]
     if with_grouping_id:
         exprs.append(F.grouping_id().alias("grouping_id"))
     return df.cube(*keys).agg(*exprs)

@@ -81,24 +81,28 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, parts).cast("long")
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size: file sizes, carried through
+    the plan without running it. An upper estimate for joins; a lower one for
+    compressed files, so it can rule a broadcast out but prove nothing."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def has_bounded_size(
     df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> bool:
     """Proof of a size bound: at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    Only one number per row (its width) is fetched, through a collect-side
-    LIMIT: Spark scans one partition first and widens the scan only while
-    fewer than ``max_rows + 1`` rows were found, so the probe of a large
-    table stops after a few partitions instead of touching all of them.
+    A frame whose scans are estimated above the byte bound is ruled out without
+    a job, so no large table is ever read for the proof. Otherwise rows and
+    bytes are counted on the executors by one partial aggregate; a single row
+    reaches the driver.
     """
-    widths = df.select(_row_bytes(df).alias("w")).limit(max_rows + 1).collect()
-    return len(widths) <= max_rows and sum(r.w for r in widths) <= max_bytes
-
-
-def has_at_most_rows(df: DataFrame, max_rows: int) -> bool:
-    """Row-count bound only (same incremental probe, no byte limit)."""
-    return len(df.select(F.lit(1)).limit(max_rows + 1).collect()) <= max_rows
+    if estimated_bytes(df) > max_bytes:
+        return False
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def broadcast_join(

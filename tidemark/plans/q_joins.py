@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import copartition as P
 from tidemark.operators import joins as J
 from tidemark.plans import oracle as O
 from tidemark.plans import retail as R
@@ -112,3 +113,20 @@ def join_left(spark, sf_dir):
     last = m.orders.groupBy("user_id").agg(F.max("order_date").alias("order_date_max_per_user"))
     last = last.where(F.col("order_date_max_per_user") >= F.lit("1998-01-01").cast("date"))
     return J.join_using(m.users.select("user_id", "name", "city"), last, "user_id", how="left")
+
+
+@register(
+    "join_copartitioned",
+    """
+SELECT o_orderkey AS order_id, o_custkey AS user_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+)
+def join_copartitioned(spark, sf_dir):
+    """Orders and items written in buckets of the order, joined without a shuffle."""
+    orders = T.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"))
+    items = T.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("int").alias("quantity")
+    )
+    buckets = spark.sparkContext.defaultParallelism
+    left, right = (P.write_buckets(df, "order_id", buckets, name) for df, name in ((orders, "orders"), (items, "items")))
+    return P.join_buckets(spark, left, right).select("order_id", "user_id", "product_id", "quantity")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as S
 from tidemark.operators import aggregate as A
+from tidemark.operators import control
 from tidemark.operators import ordering as G
 from tidemark.plans import oracle as O
 from tidemark.plans import retail as R
@@ -22,8 +23,17 @@ FACT_COLUMNS = [
 ]
 
 
+def _model(spark, sf_dir):
+    """Written dimensions; no report below reads the tenure."""
+    return R.prepared(spark, sf_dir, skew_safe_joins=True, tenure=False)
+
+
+def _user_report(spark, sf_dir):
+    return control.materialize(R.user_report(_model(spark, sf_dir)), "user-report")
+
+
 def _fact(spark, sf_dir):
-    return R.fact_table(R.prepared(spark, sf_dir, skew_safe_joins=True))
+    return R.fact_table(_model(spark, sf_dir))
 
 
 @register("join_star_fact", O.with_model(f"SELECT {', '.join(FACT_COLUMNS)} FROM fact"))
@@ -42,7 +52,7 @@ FROM fact GROUP BY order_date, category
 ORDER BY order_date, daily_gmv_category DESC"""),
 )
 def agg_daily_category(spark, sf_dir):
-    return R.daily_category_metrics(_fact(spark, sf_dir))
+    return R.daily_category_report(_model(spark, sf_dir))
 
 
 @register(
@@ -72,7 +82,7 @@ def win_rank_topn(spark, sf_dir):
 
 @register("agg_user_metrics", O.with_model(O.USER_METRICS))
 def agg_user_metrics(spark, sf_dir):
-    return R.user_metrics(_fact(spark, sf_dir))
+    return R.user_report(_model(spark, sf_dir))
 
 
 @register(
@@ -96,7 +106,7 @@ SELECT *, CAST(dense_rank() OVER (ORDER BY user_total_spending DESC) AS INTEGER)
 FROM ({O.USER_METRICS})"""),
 )
 def win_dense_rank(spark, sf_dir):
-    return R.ranked_users(_fact(spark, sf_dir))
+    return R.ranked_users(None, _user_report(spark, sf_dir))
 
 
 @register(
@@ -120,7 +130,7 @@ FROM (SELECT *, CAST(dense_rank() OVER (ORDER BY user_total_spending DESC) AS IN
       FROM ({O.USER_METRICS})) WHERE user_rank <= 10"""),
 )
 def win_top10(spark, sf_dir):
-    return R.top_customers(_fact(spark, sf_dir))
+    return R.top_customers(None, metrics=_user_report(spark, sf_dir))
 
 
 @register(
@@ -194,12 +204,7 @@ SELECT category, COUNT(DISTINCT order_id) AS orders, COUNT(DISTINCT user_id) AS
 FROM fact GROUP BY category"""),
 )
 def agg_count_distinct(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
-    return A.aggregate(
-        fact,
-        ["category"],
-        {"orders": F.countDistinct("order_id"), "customers": F.countDistinct("user_id")},
-    )
+    return A.count_distinct_each(_fact(spark, sf_dir), ["category"], {"orders": "order_id", "customers": "user_id"})
 
 
 @register(
@@ -260,8 +265,7 @@ def agg_count(spark, sf_dir):
     "agg_cube",
     """
 SELECT gt, "User", avg("Index") AS "avg_Index", avg("User") AS "avg_User",
-       CAST((2 * SUM(CAST(CAST(value AS DECIMAL(28,6)) * 1000000 AS BIGINT)) * 10000 + COUNT(value))
-            // (2 * COUNT(value)) AS DOUBLE) / 10000000000 AS avg_value,
+       CAST(SUM(CAST(value AS DECIMAL(28,6))) AS DOUBLE) / COUNT(value) AS avg_value,
        CAST(GROUPING(gt) * 2 + GROUPING("User") AS BIGINT) AS grouping_id
 FROM (SELECT event_id AS "Index", user_id AS "User", event_type AS gt, value FROM events)
 GROUP BY CUBE (gt, "User")""",
@@ -270,5 +274,4 @@ def agg_cube(spark, sf_dir):
     """cube(gt, User).avg() over every numeric column, with the grouping id
     that tells a subtotal null from a real null (E7)."""
     act = T.activity(spark, sf_dir).select("gt", "User", "Index", S.money("value").alias("value"))
-    out = A.cube_avg(act, ["gt", "User"], with_grouping_id=True)
-    return out.withColumn("avg_value", F.col("avg_value").cast("double"))
+    return A.cube_avg(act, ["gt", "User"], with_grouping_id=True)

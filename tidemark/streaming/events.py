@@ -33,7 +33,7 @@ def pattern_filter(df: DataFrame, col: str, pattern: str, columns: Sequence[str]
     return df.where(like(col, pattern)).select(*columns)
 
 
-def device_cube(df: DataFrame, keys: Sequence[str] = ("gt", "model")) -> DataFrame:
+def device_cube(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``cube(keys).avg()`` of every numeric column (I4, complete mode)."""
     return cube_avg(df, list(keys))
 
