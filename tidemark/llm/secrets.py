@@ -18,7 +18,7 @@ A repeated row gets the spans of its twin and adds no owner.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import row_key
@@ -35,6 +35,9 @@ MAX_OWNERS = 1
 #: So is one in more repositories than this, even if one owner has them all.
 MAX_REPOSITORIES = 2
 
+#: Matches whose places are summed together.
+BLOCK = 256
+
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
@@ -49,15 +52,36 @@ def pattern_spans(text: str, pattern: str, kind: int, group: int = 0) -> Column:
         values,
         lambda x, v: F.struct(x["gap"].alias("gap"), x["len"].alias("len"), v.alias("value")),
     )
-    state = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    real = F.filter(rows, lambda r: r["len"].isNotNull())
+    # bound to a variable: a lambda that names the expression would run the pattern again for every block
+    placed = F.get(F.transform(F.array(F.struct(real.alias("rows"))), lambda s: _placed(s["rows"], kind)), F.lit(0))
+    return F.when(F.col(text).rlike(pattern), placed).otherwise(F.array().cast(_SPAN))
+
+
+def _placed(rows: Column, kind: int) -> Column:
+    """Spans of (gap, len, value) rows: starts are running sums of both. Growing
+    an array by one copies it, so sums run over blocks first and then inside
+    each, which keeps long texts from costing the square of their matches."""
+    blocks = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(rows) - 1) / BLOCK).cast("int")))
+    block = lambda b: F.slice(rows, b * BLOCK + 1, BLOCK)
+    sums = F.transform(blocks, lambda b: F.aggregate(block(b), F.lit(0), lambda at, r: at + r["gap"] + r["len"]))
+    grown = lambda kind_: F.struct(F.lit(0).alias("at"), F.array().cast(kind_).alias("out"))
+    starts = F.aggregate(
+        sums, grown("array<int>"),
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: acc["out"],
+    )
 
     def step(acc, r):
         start = acc["at"] + r["gap"]
         span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + r["len"]).alias("end"), r["value"].alias("value"))
         return F.struct((start + r["len"]).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    placed = F.aggregate(F.filter(rows, lambda r: r["len"].isNotNull()), state, step, lambda acc: acc["out"])
-    return F.when(F.col(text).rlike(pattern), placed).otherwise(F.array().cast(_SPAN))
+    inside = F.zip_with(
+        blocks, starts,
+        lambda b, at: F.aggregate(block(b), F.struct(at.alias("at"), F.array().cast(_SPAN).alias("out")), step, lambda acc: acc["out"]),
+    )
+    return F.flatten(inside)
 
 
 def _hashed(spans: Column) -> Column:
@@ -71,6 +95,19 @@ def _joined(spans: Column) -> Column:
     )
 
 
+def _free(spans: DataFrame) -> DataFrame:
+    """``spans`` without the candidates that overlap a base span of their text:
+    those before are known by their greatest end, those behind by their least
+    start, both as running values, so many spans of one text cost no square."""
+    base = F.col("kind") < 3
+    running = (Window.unboundedPreceding, Window.currentRow)
+    of_text = Window.partitionBy("rk")
+    before = F.max(F.when(base, F.col("end"))).over(of_text.orderBy("start", "kind").rowsBetween(*running))
+    behind = F.min(F.when(base, F.col("start"))).over(of_text.orderBy(F.col("start").desc(), F.col("kind").desc()).rowsBetween(*running))
+    free = (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(behind, F.col("end")) >= F.col("end"))
+    return spans.withColumn("_free", base | free).where("_free").drop("_free")
+
+
 def scan(
     docs: DataFrame, repository: Column, owner: Column, id_col: str = "doc_id", text_col: str = "text",
     max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES,
@@ -88,11 +125,8 @@ def scan(
         "rk", "doc_id", "repo", "owner",
         _hashed(F.concat(assign, pattern_spans("t", ACCESS, 1), pattern_spans("t", HEX, 2))).alias("base"), _hashed(mixed).alias("other"),
     )
-    found = found.withColumn(
-        "other", F.filter("other", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    )
     found = materialize(found, "secret-spans")
-    spans = found.select("rk", "repo", "owner", F.explode(F.concat("base", "other")).alias("s")).select("rk", "repo", "owner", "s.*")
+    spans = _free(found.select("rk", "repo", "owner", F.explode(F.concat("base", "other")).alias("s")).select("rk", "repo", "owner", "s.*").distinct())
     owners = (
         spans.select("value", F.coalesce("owner", F.lit("\0")).alias("owner"), F.coalesce("repo", F.lit("\0")).alias("repo")).distinct()
         .groupBy("value", "owner").agg(F.count("*").alias("repos"))
