@@ -11,10 +11,11 @@ them, as in the usual signatures, would miss short items in long texts.
 Candidates are verified on the shingles themselves.
 
 Words are split at ASCII white space, A-Z folded. An item or a document of fewer
-than five words is one shingle; without words it has none and matches nothing.
-By that rule, which is the SQL's, such an item is found only as a whole document.
-With ``short_items`` it is also found inside longer documents: these get their
-shingles of the lengths that occur among the benchmark's short items too.
+than five words is one shingle; without words it has none and matches nothing. So that
+an item of one to four words is found inside longer documents, these get their
+runs of words of the lengths that occur among the benchmark's short items too
+(``short_items=False`` leaves that out: such an item is then found as a whole
+document only).
 Null ids are kept. Repeats of a document or an item (equal id and text) count once.
 """
 
@@ -37,13 +38,13 @@ def _signatures(items: DataFrame, containment: float) -> DataFrame:
     size = F.size("hashes")
     upper = F.pow(F.lit(2), F.floor(F.log2(size)) + 1) - 1
     length = F.least(size, (F.floor((1 - containment) * upper + 1e-9) + 1).cast("int"))
-    least = F.slice(F.array_sort("hashes"), F.lit(1), length)
+    least = F.slice(F.sort_array("hashes"), F.lit(1), length)
     return items.where(size > 0).select("item", F.explode(least).alias("h"))
 
 
 def contained_items(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    containment: float = CONTAINMENT, width: int = WIDTH, short_items: bool = False,
+    containment: float = CONTAINMENT, width: int = WIDTH, short_items: bool = True,
 ) -> DataFrame:
     """``(rk, doc id, item id, n_shared, n_item, containment)`` of every
     document and item with that containment or more; ``rk`` is the document's

@@ -83,10 +83,12 @@ OP5_SQL = r"""
 WITH w AS (
   SELECT 0 AS k, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
 v AS (SELECT k, id, text, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM w),
-u AS (SELECT k, id, text, len(ws) AS nw, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM v),
+u AS (SELECT k, id, text, ws, len(ws) AS nw, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM v),
+l AS (SELECT DISTINCT len(ws) AS n FROM v WHERE k = 1 AND len(ws) BETWEEN 1 AND 4),
 m AS (SELECT k, id, text, nw, i, concat_ws(' ', x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o) AS gram
       FROM u WINDOW o AS (PARTITION BY k, id, text ORDER BY i)),
-g AS (SELECT DISTINCT k, id, text, gram FROM m WHERE i <= nw - 4 OR (nw < 5 AND i = 1)),
+g AS (SELECT k, id, text, gram FROM m WHERE i <= nw - 4 OR (nw < 5 AND i = 1)
+      UNION SELECT k, id, text, array_to_string(ws[i:i + n - 1], ' ') FROM u JOIN l ON k = 0 AND i <= nw - n + 1),
 n AS (SELECT id, count(*) AS n_item FROM g WHERE k = 1 GROUP BY id),
 p AS (SELECT d.id AS doc_id, b.id AS item_id, d.text, count(*) AS n_shared FROM g d JOIN g b ON d.k = 0 AND b.k = 1 AND d.gram = b.gram GROUP BY d.id, b.id, d.text)
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM p JOIN n ON n.id = p.item_id WHERE 5 * n_shared >= 4 * n_item
