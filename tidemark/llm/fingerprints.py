@@ -27,12 +27,12 @@ WIDTH = 5
 def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, width: int = WIDTH) -> DataFrame:
     """``out``: the sketch of ``text`` as an array of longs."""
     df = with_hashes(with_words(df, text, "_words"), "_words", "_hashes", width)
-    return df.withColumn(out, F.slice(F.array_sort("_hashes"), 1, k)).drop("_words", "_hashes")
+    return df.withColumn(out, F.slice(F.sort_array("_hashes"), 1, k)).drop("_words", "_hashes")
 
 
 def merged(a: Column | str, b: Column | str, k: int = K) -> Column:
     """The sketch of two parts together."""
-    return F.slice(F.array_sort(F.array_union(a, b)), 1, k)
+    return F.slice(F.sort_array(F.array_union(a, b)), 1, k)
 
 
 def merge_by(sketches: DataFrame, by: list[str], sketch: str, k: int = K) -> DataFrame:
