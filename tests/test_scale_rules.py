@@ -15,9 +15,9 @@ from tidemark import session
 # Streaming queries return their sink's output read back (a plain scan); their
 # own plans are covered by the streaming tests.
 STREAMING = ("st_", "src_stream_json", "topk_window_struct")
-# The only single-partition steps allowed, each over a bounded table:
-# one row per calendar day, and one row per sort partition.
-SINGLE_PARTITION_OK = {"win_cumulative", "win_dense_rank"}
+# The only single-partition steps allowed, each over one row per sort partition
+# (offsets of ranks, positions and running totals).
+SINGLE_PARTITION_OK = {"win_cumulative", "win_dense_rank", "op11_importance_resampling"}
 ROW_UDF_OK = {"udf_scalar"}  # the reference's row-at-a-time UDF demo
 
 
