@@ -80,7 +80,7 @@ def test_stream_matches_batch(spark, tmp, mode, valid, rejected, total):
     dlq = TX.read_records(spark, out.rejected)
     assert dlq.count() == rejected
     assert dlq.where(F.col("error_reason").isNull()).count() == 0
-    totals = spark.read.parquet(out.totals).collect()
+    totals = TX.read_totals(spark, out.totals, "complete").collect()
     assert [r.running_total for r in totals] == [total]
 
 
@@ -115,4 +115,4 @@ def test_chained_totals_with_a_continuous_trigger(spark, tmp):
         for q in qs:
             q.stop()
     assert TX.read_records(spark, out.valid).count() == 2
-    assert [r.running_total for r in spark.read.parquet(out.totals).collect()] == [10_020_000]
+    assert [r.running_total for r in TX.read_totals(spark, out.totals, "complete").collect()] == [10_020_000]

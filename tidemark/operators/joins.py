@@ -81,11 +81,19 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, parts).cast("long")
 
 
-def estimated_bytes(df: DataFrame) -> int:
+#: What Spark takes for the size of a source that tells none.
+_UNKNOWN_BYTES = 2**63 - 1
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's estimate of a frame's size: file sizes, carried through
-    the plan without running it. An upper estimate for joins; a lower one for
-    compressed files, so it can rule a broadcast out but prove nothing."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    the plan without running it; None if one of its sources tells no size. An
+    upper estimate for joins; a lower one for compressed files, so it can rule
+    a broadcast out but prove nothing."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return None if _UNKNOWN_BYTES in sizes else int(plan.stats().sizeInBytes())
 
 
 def has_bounded_size(
@@ -99,7 +107,7 @@ def has_bounded_size(
     bytes are counted on the executors by one partial aggregate; a single row
     reaches the driver.
     """
-    if estimated_bytes(df) > max_bytes:
+    if (estimated_bytes(df) or 0) > max_bytes:
         return False
     rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
