@@ -85,7 +85,7 @@ def _fanout_model(spark):
 
 def test_fan_out_item_grain_vs_order_grain(spark):
     m = _fanout_model(spark)
-    item = R.user_metrics(R.fact_table(m)).collect()[0]
+    item = R.user_spending(R.fact_table(m)).collect()[0]
     assert (item.user_total_spending, item.user_total_orders, item.user_avg_order_value) == (
         250.0, 2, 250.0 / 3)
     order = R.user_metrics_order_grain(m).collect()[0]
@@ -208,7 +208,7 @@ def test_reports_on_projected_fact_equal_full_fact(spark):
     from tidemark.plans import retail as R
     full = R.fact_table(R.prepared(spark, "/root/testdata/sf0.001"))
     reps = R.reports(R.materialize_for_reports(spark, full))
-    for name, fn in [("daily_category", R.daily_category_metrics), ("city", R.city_metrics),
+    for name, fn in [("daily_category", R.category_days), ("city", R.city_sales),
                      ("top_categories", R.top_categories_per_city),
                      ("cumulative_gmv", R.cumulative_gmv)]:
         assert sorted(reps[name].collect()) == sorted(fn(full).collect()), name

@@ -41,8 +41,8 @@ def faulty_model(spark):
 def test_reports_from_order_partials_equal_those_from_the_fact(spark, made):
     model = faulty_model(spark) if made else R.prepared(spark, SF_SMALL, tenure=False)
     fact = R.fact_table(model)
-    assert same(R.user_metrics(fact), R.user_report(model))
-    assert same(R.daily_category_metrics(fact), R.daily_category_report(model))
+    assert same(R.user_spending(fact), R.user_report(model))
+    assert same(R.category_days(fact), R.daily_category_report(model))
 
 
 def test_items_are_shuffled_three_times_at_most(spark):

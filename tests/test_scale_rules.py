@@ -148,7 +148,7 @@ def test_hot_order_is_split_in_the_star_join(spark, tmp):
         report = R.user_report(m)
         plan = J.plan_text(report, "simple")
         assert plan.index("Exchange hashpartitioning(order_id") < plan.index("functions=[partial_count(1)]")
-        assert sorted(report.collect()) == sorted(R.user_metrics(R.fact_table(m)).collect())
+        assert sorted(report.collect()) == sorted(R.user_spending(R.fact_table(m)).collect())
 
 
 def test_skew_safe_model_reads_written_dimensions(spark):

@@ -218,6 +218,6 @@ SELECT event_type AS gt, user_id AS "User", ts AS event_time, value FROM events
 WHERE event_type LIKE '%ic%' AND event_type IS NOT NULL""",
 )
 def filter_where(spark, sf_dir):
-    act = T.activity(spark, sf_dir).withColumn("stairs", S.like("gt", "%ic%"))
-    out = C.filter_where(C.filter_where(act, "stairs"), "gt is not null")
+    act = T.activity(spark, sf_dir).withColumn("matches", S.like("gt", "%ic%"))
+    out = C.filter_where(C.filter_where(act, "matches"), "gt is not null")
     return out.select("gt", "User", "event_time", "value")

@@ -77,11 +77,11 @@ def st_minute_total(spark, sf_dir):
 
 @register(
     "fn_like",
-    "SELECT event_id, event_type AS gt, event_type LIKE '%ic%' AS stairs FROM events",
+    "SELECT event_id, event_type AS gt, event_type LIKE '%ic%' AS matches FROM events",
 )
 def fn_like(spark, sf_dir):
     return T.activity(spark, sf_dir).select(
-        F.col("Index").alias("event_id"), "gt", S.like("gt", "%ic%").alias("stairs")
+        F.col("Index").alias("event_id"), "gt", S.like("gt", "%ic%").alias("matches")
     )
 
 

@@ -64,7 +64,7 @@ SELECT city, {O.money_sum('total_item_value')} AS total_gmv_city,
 FROM fact GROUP BY city ORDER BY total_gmv_city DESC"""),
 )
 def agg_city(spark, sf_dir):
-    return R.city_metrics(_fact(spark, sf_dir))
+    return R.city_sales(_fact(spark, sf_dir))
 
 
 @register(
