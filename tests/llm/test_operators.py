@@ -100,6 +100,67 @@ def test_keys_meet_for_every_similar_pair():
             assert set(keys[who == 0]) & set(keys[who == 1])
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sets_without_their_most_frequent_subsets_still_meet(percent):
+    """Whatever the counts: both leave out the first keys of one common order."""
+    rng, left_out = np.random.default_rng(6), 0
+    for n in [7, 13, 20, 40, 90, 150, 400]:
+        for _ in range(40):
+            change = int(rng.integers(0, n * (100 - percent) // 100 + 1))
+            a = np.unique(rng.integers(1, 2**63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[change // 2 :], rng.integers(1, 2**63, change - change // 2, dtype=np.uint64)]))
+            common = len(np.intersect1d(a, b))
+            if 100 * common < percent * (len(a) + len(b) - common):
+                continue
+            sizes = np.array([len(a), len(b)])
+            who, keys, band, spare = ngram_join.banded_keys(np.repeat([0, 1], sizes), np.concatenate([a, b]), sizes, percent)
+            uses = {k: int(rng.integers(1, 4)) for k in keys.tolist()}
+            kept = [set(), set()]
+            for own in (0, 1):
+                for up in set(band[who == own].tolist()):
+                    here = (who == own) & (band == up)
+                    order = sorted(set(keys[here].tolist()), key=lambda k: (-uses[k], k))
+                    rest = int(spare[here].max())
+                    left_out += rest
+                    kept[own] |= set(order[rest:])
+            assert kept[0] & kept[1]
+    assert left_out > 500
+
+
+def test_the_most_frequent_subsets_stay_out_of_the_index(spark):
+    """Texts that share a passage: their common keys cost the most, so those go."""
+    rnd = random.Random(12)
+    text = lambda n: " ".join(rnd.choice(NAMES) for _ in range(n))
+    passage = text(60)
+    texts = [text(120) + " " + passage + " " + text(120) for _ in range(60)]
+    texts += [t.replace(" w7 ", " w8 ", 1) for t in texts[:20]]
+    docs = table(spark, texts)
+    listed = ngram_join.keyed(docs).select("rk", "text").mapInArrow(ngram_join._keys(4, 85), ngram_join._KEY_ROW)
+    every = {(r.sid, r.key) for r in listed.collect()}
+    uses = {}
+    for _, k in every:
+        uses[k] = uses.get(k, 0) + 1
+    kept = {(r.sid, r.key) for r in ngram_join._allocated(listed).collect()}
+    assert kept <= every
+    pairs = lambda rows: sum(n * (n - 1) for n in _counts(rows).values())
+    assert pairs(kept) < pairs({x for x in every if uses[x[1]] > 1})
+    got = {r.doc_id: r.component_id for r in ngram_join.similar_components(docs).collect()}
+    assert got == {i: i - 60 if i >= 60 else i for i in range(80)}
+
+
+def test_groups_in_blocks_of_few_elements(spark, corpus, monkeypatch):
+    want = {(r.doc_id, r.component_id) for r in ngram_join.similar_components(table(spark, corpus)).collect()}
+    monkeypatch.setattr(ngram_join, "BLOCK_ELEMENTS", 200)
+    assert {(r.doc_id, r.component_id) for r in ngram_join.similar_components(table(spark, corpus)).collect()} == want
+
+
+def _counts(rows):
+    out = {}
+    for _, k in rows:
+        out[k] = out.get(k, 0) + 1
+    return out
+
+
 def test_mix_comes_near_its_targets(spark, corpus):
     sources = [(None, "a", "b", "c", "a")[i % 5] for i in range(len(corpus))]
     rows = mixing.mix(table(spark, corpus, sources)).collect()

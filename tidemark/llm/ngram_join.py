@@ -8,12 +8,19 @@ indexed in its own band and in those above that a partner of it can be in.
 
 Keys of a set: the subset in each non-empty segment. Empty segments are equal
 between strangers, so they give no key; the slack ``s`` pays for them. How the
-differences are allocated follows the cost of the keys:
-
-* up to ``s`` empty segments: subsets only (differences 0 allowed a segment);
+differences are allocated follows the cost of the keys, counted over all sets:
+
+* up to ``s`` empty segments: subsets only (difference 0 allowed a segment), and
+  of these only the ``H + 1`` rarest. The others are the set's most frequent
+  subsets, which would cost the most candidates, and stay out of the index
+  (nothing allowed there). Two sets that must meet have the same subset in at
+  least one segment more than either of them leaves out; all sets rank subsets by
+  the same counts, so what the two leave out of these is one run from the
+  frequent end, and a common key is left;
 * more: also all subsets with one element left out (difference 1 allowed), which
   is enough while ``2 (m - empty) > H``. This costs a key for each shingle, so
-  ``s`` is set to what a band's smallest sets need by a Poisson estimate;
+  ``s`` is set to what a band's smallest sets need by a Poisson estimate; nothing
+  is left out, which doesn't disturb the rule above for the other set of a pair;
 * beyond that (a handful of elements in few segments): every element is a key.
 
 Each case finds every pair that it must, so no link is lost; all candidates are
@@ -39,7 +46,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Rolling, keyed, mix, mix2
@@ -72,10 +79,15 @@ def bands(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def keys_of(own: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Set index and key of all keys of the sets whose sizes are ``n``."""
+    return banded_keys(own, h, n, percent)[:2]
+
+
+def banded_keys(own: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``keys_of`` with each key's band and how many keys its set can spare there."""
     largest = int(n.max(initial=1))
     low, segments, differ = bands(percent, 2 * largest + 4)
     home = np.searchsorted(low, np.maximum(n, 1), "right") - 1
-    owners, keys = [], []
+    owners, keys, of_band, spares = [], [], [], []
     for up in range(4):
         band = home + up
         member = (n > 0) & (band < len(low))
@@ -99,6 +111,7 @@ def keys_of(own: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> tupl
         keys.append(mix2(total, name))
         filled = np.bincount(so, minlength=len(n))
         sparse = member & (m - filled > m - 1 - most)
+        spare = np.where(member, np.maximum(filled - 1 - most, 0), 0)
         if sparse.any():
             of = np.cumsum(np.r_[True, place[1:] != place[:-1]]) - 1
             size = np.diff(np.r_[starts, len(place)])
@@ -108,9 +121,12 @@ def keys_of(own: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> tupl
             single = np.flatnonzero((sparse & (2 * filled <= most))[o])
             owners.append(o[single])
             keys.append(mix2(value[single], mix((band[o[single]].astype(U64) << U64(32)) | U64(0xFFFFFFFF))))
+        added = owners[len(of_band) :]
+        of_band += [band[o] for o in added]
+        spares += [spare[o] for o in added]
     if not owners:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
-    return np.concatenate(owners), np.concatenate(keys)
+        return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(owners), np.concatenate(keys), np.concatenate(of_band), np.concatenate(spares)
 
 
 def _index(width: int):
@@ -135,8 +151,11 @@ def _set_ids(own: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
     return mix2(one, two + n.astype(U64)).view(np.int64)
 
 
+_KEY_ROW = "sid long, n long, band long, spare long, key long"
+
+
 def _keys(width: int, percent: int, remember: int = 100_000):
-    """Flat (set, key) rows. Copies of a set that a task has just listed are
+    """Flat rows of ``_KEY_ROW``. Copies of a set that a task has just listed are
     not listed again, so a group of copies gives a few rows for each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +172,10 @@ def _keys(width: int, percent: int, remember: int = 100_000):
                         seen.clear()
                     seen.add(x)
             keep = fresh[own]
-            who, keys = keys_of(own[keep], h[keep], np.where(fresh, n, 0), percent)
-            yield pa.RecordBatch.from_arrays([pa.array(sid[who]), pa.array(keys.view(np.int64))], names=["sid", "key"])
+            who, keys, band, spare = banded_keys(own[keep], h[keep], np.where(fresh, n, 0), percent)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sid[who]), pa.array(n[who]), pa.array(band), pa.array(spare), pa.array(keys.view(np.int64))], names=["sid", "n", "band", "spare", "key"]
+            )
 
     return run
 
@@ -309,17 +330,31 @@ def _near(pairs: DataFrame, digests: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "nx", "ny", "dx", "dy").mapInArrow(_near_pairs(percent), "a long, b long")
 
 
-#: Sets of a key that one task compares at once; larger groups are dealt in blocks.
-BLOCK = 4096
+#: Sets of a key that one task compares at once, and elements in them (a digest has
+#: at most a byte an element); larger groups are dealt in blocks.
+BLOCK, BLOCK_ELEMENTS = 4096, 1 << 25
+
+
+def _allocated(listed: DataFrame) -> DataFrame:
+    """``sid``, ``n``, ``key``, ``least`` and ``most`` (sets of the key) of the
+    keys that stay in the index and that more than one set has. ``listed`` are
+    rows of ``_KEY_ROW``, repeats allowed. Counts are partial aggregates, so a
+    frequent key is never one task's alone."""
+    ends = F.min("sid").alias("least"), F.max("sid").alias("most")
+    shared = listed.groupBy("key").agg(*ends, F.count("*").alias("uses")).where("least != most").select("key", "uses")
+    common = listed.join(shared, "key").distinct()
+    costly = F.row_number().over(Window.partitionBy("sid", "band").orderBy(F.col("uses").desc(), "key"))
+    kept = materialize(common.withColumn("place", costly).where("place > spare").select("sid", "n", "key"), "ngram-kept")
+    return kept.join(kept.groupBy("key").agg(*ends).where("least != most"), "key").select("sid", "n", "key", "least", "most")
 
 
 def _still_apart(keys: DataFrame, labels: DataFrame, digests: DataFrame, percent: int, join_on_the_way: bool) -> DataFrame:
     """Pairs that share a key, aren't in one component and may be linked."""
     of = labels.select(F.col("id").alias("sid"), "label")
-    at = keys.select("sid", "key").join(of, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    at = keys.select("sid", "key", F.col("n").alias("elements")).join(of, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     mixed = (
-        at.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("size"))
-        .where("l0 != l1").select("key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+        at.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("size"), F.sum("elements").alias("elements"))
+        .where("l0 != l1").select("key", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("elements") / BLOCK_ELEMENTS)).alias("blocks"))
     )
     rows = (
         at.join(mixed, "key")
@@ -346,12 +381,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_type = docs.schema[id_col].dataType.simpleString()
     index = materialize(texts.mapInArrow(_index(width), f"rk long, doc_id {id_type}, n long, sid long"), "ngram-index")
     corpus = _Corpus(texts, index, width, percent)
-    keys = materialize(
-        texts.select("rk", "text").mapInArrow(_keys(width, percent), "sid long, key long")
-        .selectExpr("sid", "key", "min(sid) OVER (PARTITION BY key) AS least", "max(sid) OVER (PARTITION BY key) AS most")
-        .where("least != most").distinct(),
-        "ngram-keys",
-    )
+    listed = materialize(texts.select("rk", "text").mapInArrow(_keys(width, percent), _KEY_ROW), "ngram-listed")
+    keys = materialize(_allocated(listed), "ngram-keys")
     digests = corpus.digests(keys.select("sid"))
     stars = (
         keys.where("sid != least").selectExpr("least AS a", "sid AS b")
