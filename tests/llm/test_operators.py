@@ -353,6 +353,47 @@ def test_counts_follow_edits(spark):
     assert token_counts.edited_counts(docs.limit(0), F.lit(None).cast("array<struct<start:int,end:int,replacement:string>>"), path, public.PATTERN).count() == 0
 
 
+def test_trees_are_kept_and_a_later_edit_encodes_its_region_only(spark, monkeypatch):
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.tiktoken")
+    counter, rnd = token_counts.Counter(path, public.PATTERN), random.Random(8)
+    encode = lambda t: len(counter.encoding.encode_ordinary(t))
+    text = " ".join(rnd.choice(NAMES) + rnd.choice(["", "  ", "\n", "'s", "9"]) for _ in range(20_000))
+    stored = token_counts.TokenTree(counter, text).leaf_sums()
+    for k in range(6):
+        fresh = token_counts.Counter(path, public.PATTERN)
+        asked = []
+        monkeypatch.setattr(fresh, "counts", lambda pieces, c=fresh: asked.extend(pieces) or token_counts.Counter.counts(c, pieces))
+        tree = token_counts.TokenTree(fresh, text, stored)
+        assert not asked and tree.leaves.count(None) == len(tree.leaves)
+        edits = [(1_000 * k, 1_000 * k + 7, "new words"), (40_000, 40_000 + 3 * k, "")] if k < 5 else [(500, 60_000, "x " * 3_000)]
+        for a, b, new in sorted(edits, reverse=True):
+            tree.edit(a, b, new)
+            text = text[:a] + new + text[b:]
+        if k < 5:
+            assert len(asked) < 4 * token_counts.LEAF and tree.leaves.count(None) >= len(tree.leaves) - 6
+        stored = tree.leaf_sums()
+        assert tree.text() == text and tree.total == sum(stored[1]) == encode(text)
+        assert sum(stored[0]) == len(text)
+    with pytest.raises(ValueError, match="stored tree"):
+        token_counts.TokenTree(counter, text + "x", stored)
+    # as tables: two rounds of edits, the second one on the written trees of the first
+    texts = ["call 5551234 now, or 99887766", None, "", "call 5551234 now, or 99887766", "x" * 3_000 + " 4321 " + "y z " * 2_000]
+    docs = table(spark, texts)
+    schema = token_counts.build_trees(docs, path, public.PATTERN).schema
+    trees = spark.createDataFrame(token_counts.build_trees(docs, path, public.PATTERN).collect(), schema)
+    for pattern, new in [("[0-9]{4,}", "[X]"), ("call|y", "é  é")]:
+        rows = token_counts.edit_trees(trees, token_counts.redactions("text", pattern, new), path, public.PATTERN).collect()
+        texts = [re.sub(pattern, new, t or "") for t in texts]
+        got = {r.doc_id: r for r in rows}
+        before = {r.doc_id: sum(r.leaf_tokens) for r in trees.collect()}
+        for i, t in enumerate(texts):
+            assert (got[i].text, got[i].n_tokens, got[i].n_tokens_edited) == (t, before[i], encode(t))
+            assert sum(got[i].leaf_tokens) == encode(t) and sum(got[i].leaf_chars) == len(t)
+        trees = spark.createDataFrame([(r.doc_id, r.text, r.leaf_chars, r.leaf_tokens) for r in rows], schema)
+    assert token_counts.build_trees(empty(spark), path, public.PATTERN).count() == 0
+
+
 def test_revisits_resolve_to_the_latest_earlier_response(spark):
     rnd = random.Random(2)
     hour = revisits.BLOCK

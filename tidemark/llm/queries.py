@@ -135,7 +135,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return token_counts.edited_counts(
         docs, token_counts.redactions("text", REDACTED, "[X]"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_text=False
-    ).drop("edited")
+    )
 
 
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
