@@ -151,7 +151,8 @@ def _set_ids(own: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
     return mix2(one, two + n.astype(U64)).view(np.int64)
 
 
-_KEY_ROW = "sid long, n long, band long, spare long, key long"
+#: ``slot`` is the band in the low 8 bits and what the set can spare there above them.
+_KEY_ROW = "sid long, slot long, key long"
 
 
 def _keys(width: int, percent: int, remember: int = 100_000):
@@ -174,7 +175,7 @@ def _keys(width: int, percent: int, remember: int = 100_000):
             keep = fresh[own]
             who, keys, band, spare = banded_keys(own[keep], h[keep], np.where(fresh, n, 0), percent)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sid[who]), pa.array(n[who]), pa.array(band), pa.array(spare), pa.array(keys.view(np.int64))], names=["sid", "n", "band", "spare", "key"]
+                [pa.array(sid[who]), pa.array(band + (spare << 8)), pa.array(keys.view(np.int64))], names=["sid", "slot", "key"]
             )
 
     return run
@@ -336,22 +337,24 @@ BLOCK, BLOCK_ELEMENTS = 4096, 1 << 25
 
 
 def _allocated(listed: DataFrame) -> DataFrame:
-    """``sid``, ``n``, ``key``, ``least`` and ``most`` (sets of the key) of the
-    keys that stay in the index and that more than one set has. ``listed`` are
-    rows of ``_KEY_ROW``, repeats allowed. Counts are partial aggregates, so a
-    frequent key is never one task's alone."""
-    ends = F.min("sid").alias("least"), F.max("sid").alias("most")
-    shared = listed.groupBy("key").agg(*ends, F.count("*").alias("uses")).where("least != most").select("key", "uses")
-    common = listed.join(shared, "key").distinct()
-    costly = F.row_number().over(Window.partitionBy("sid", "band").orderBy(F.col("uses").desc(), "key"))
-    kept = materialize(common.withColumn("place", costly).where("place > spare").select("sid", "n", "key"), "ngram-kept")
-    return kept.join(kept.groupBy("key").agg(*ends).where("least != most"), "key").select("sid", "n", "key", "least", "most")
+    """``sid``, ``key``, ``least`` and ``most`` (sets of the key) of the keys that
+    stay in the index and that more than one set has. ``listed`` are rows of
+    ``_KEY_ROW``, repeats allowed; they are made twice, as keeping them takes
+    more than making them. Counts are partial aggregates, so a frequent key is
+    never one task's alone."""
+    uses = listed.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1")
+    common = listed.join(uses, "key").distinct()
+    costly = F.row_number().over(Window.partitionBy("sid", "slot").orderBy(F.col("uses").desc(), "key"))
+    kept = materialize(common.withColumn("place", costly).where("place > shiftright(slot, 8)").select("sid", "key"), "ngram-kept")
+    ends = kept.groupBy("key").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).where("least != most")
+    return kept.join(ends, "key").select("sid", "key", "least", "most")
 
 
 def _still_apart(keys: DataFrame, labels: DataFrame, digests: DataFrame, percent: int, join_on_the_way: bool) -> DataFrame:
     """Pairs that share a key, aren't in one component and may be linked."""
     of = labels.select(F.col("id").alias("sid"), "label")
-    at = keys.select("sid", "key", F.col("n").alias("elements")).join(of, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    sizes = digests.select("sid", F.col("n").alias("elements"))
+    at = keys.select("sid", "key").join(of, "sid", "left").join(sizes, "sid").withColumn("label", F.coalesce("label", "sid"))
     mixed = (
         at.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("size"), F.sum("elements").alias("elements"))
         .where("l0 != l1").select("key", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("elements") / BLOCK_ELEMENTS)).alias("blocks"))
@@ -381,8 +384,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_type = docs.schema[id_col].dataType.simpleString()
     index = materialize(texts.mapInArrow(_index(width), f"rk long, doc_id {id_type}, n long, sid long"), "ngram-index")
     corpus = _Corpus(texts, index, width, percent)
-    listed = materialize(texts.select("rk", "text").mapInArrow(_keys(width, percent), _KEY_ROW), "ngram-listed")
-    keys = materialize(_allocated(listed), "ngram-keys")
+    keys = materialize(_allocated(texts.select("rk", "text").mapInArrow(_keys(width, percent), _KEY_ROW)), "ngram-keys")
     digests = corpus.digests(keys.select("sid"))
     stars = (
         keys.where("sid != least").selectExpr("least AS a", "sid AS b")
