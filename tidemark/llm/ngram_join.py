@@ -101,23 +101,25 @@ def banded_keys(own: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) ->
         value = mix(x ^ U64(0x5851F42D4C957F2D))
         seg = ((x >> U64(20)) % m[o].astype(U64)).astype(np.int64)
         base = np.cumsum(np.where(member, m, 0)) - np.where(member, m, 0)
-        order = np.argsort(base[o] + seg, kind="stable")
-        place, value, o, seg = (base[o] + seg)[order], value[order], o[order], seg[order]
-        starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        total = np.add.reduceat(value, starts)
-        so, ss = o[starts], seg[starts]
+        cell = base[o] + seg
+        cells = int(np.where(member, m, 0).sum())
+        size_of = np.bincount(cell, minlength=cells)
+        # sums of 32-bit halves are exact in doubles up to 2**21 elements a cell, and only their last 64 bits count
+        total_of = np.bincount(cell, (value & U64(0xFFFFFFFF)).astype(float), cells).astype(U64)
+        total_of += np.bincount(cell, (value >> U64(32)).astype(float), cells).astype(U64) << U64(32)
+        in_use = np.flatnonzero(size_of)
+        so = np.repeat(np.arange(len(n)), np.where(member, m, 0))[in_use]
+        ss = in_use - base[so]
         name = mix((band[so].astype(U64) << U64(32)) | ss.astype(U64))
         owners.append(so)
-        keys.append(mix2(total, name))
+        keys.append(mix2(total_of[in_use], name))
         filled = np.bincount(so, minlength=len(n))
         sparse = member & (m - filled > m - 1 - most)
         spare = np.where(member, np.maximum(filled - 1 - most, 0), 0)
         if sparse.any():
-            of = np.cumsum(np.r_[True, place[1:] != place[:-1]]) - 1
-            size = np.diff(np.r_[starts, len(place)])
-            out = np.flatnonzero(sparse[o] & (size[of] > 1))
+            out = np.flatnonzero(sparse[o] & (size_of[cell] > 1))
             owners.append(o[out])
-            keys.append(mix2(total[of[out]] - value[out], name[of[out]]))
+            keys.append(mix2(total_of[cell[out]] - value[out], mix((band[o[out]].astype(U64) << U64(32)) | seg[out].astype(U64))))
             single = np.flatnonzero((sparse & (2 * filled <= most))[o])
             owners.append(o[single])
             keys.append(mix2(value[single], mix((band[o[single]].astype(U64) << U64(32)) | U64(0xFFFFFFFF))))
@@ -155,9 +157,9 @@ def _set_ids(own: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
 _KEY_ROW = "sid long, slot long, key long"
 
 
-def _keys(width: int, percent: int, remember: int = 100_000):
-    """Flat rows of ``_KEY_ROW``. Copies of a set that a task has just listed are
-    not listed again, so a group of copies gives a few rows for each task."""
+def _keys(width: int, percent: int, remember: int = 100_000, names: tuple[str, ...] = ("sid", "slot", "key")):
+    """Flat rows of ``_KEY_ROW``, or of the columns named. Copies of a set that a task has
+    just listed are not listed again, so a group of copies gives a few rows for each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling, seen = Rolling(), set()
@@ -174,9 +176,8 @@ def _keys(width: int, percent: int, remember: int = 100_000):
                     seen.add(x)
             keep = fresh[own]
             who, keys, band, spare = banded_keys(own[keep], h[keep], np.where(fresh, n, 0), percent)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sid[who]), pa.array(band + (spare << 8)), pa.array(keys.view(np.int64))], names=["sid", "slot", "key"]
-            )
+            made = {"sid": lambda: sid[who], "slot": lambda: band + (spare << 8), "key": lambda: keys.view(np.int64)}
+            yield pa.RecordBatch.from_arrays([pa.array(made[c]()) for c in names], names=list(names))
 
     return run
 
@@ -336,14 +337,16 @@ def _near(pairs: DataFrame, digests: DataFrame, percent: int) -> DataFrame:
 BLOCK, BLOCK_ELEMENTS = 4096, 1 << 25
 
 
-def _allocated(listed: DataFrame) -> DataFrame:
+def _allocated(listed: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """``sid``, ``key``, ``least`` and ``most`` (sets of the key) of the keys that
     stay in the index and that more than one set has. ``listed`` are rows of
-    ``_KEY_ROW``, repeats allowed; they are made twice, as keeping them takes
-    more than making them. Counts are partial aggregates, so a frequent key is
-    never one task's alone."""
-    uses = listed.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1")
-    common = listed.join(uses, "key").distinct()
+    ``_KEY_ROW``, repeats allowed, ``counted`` the same without the owners; they
+    are made twice, as keeping them takes more than making them. Counts are
+    partial aggregates, so a frequent key is never one task's alone. Most keys are
+    one set's only: the keys of several are the small side of a hash join, and
+    the rows of all keys are not sorted for it."""
+    uses = (listed if counted is None else counted).groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1")
+    common = listed.join(uses.hint("shuffle_hash"), "key").distinct()
     costly = F.row_number().over(Window.partitionBy("sid", "slot").orderBy(F.col("uses").desc(), "key"))
     kept = materialize(common.withColumn("place", costly).where("place > shiftright(slot, 8)").select("sid", "key"), "ngram-kept")
     ends = kept.groupBy("key").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).where("least != most")
@@ -384,7 +387,10 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_type = docs.schema[id_col].dataType.simpleString()
     index = materialize(texts.mapInArrow(_index(width), f"rk long, doc_id {id_type}, n long, sid long"), "ngram-index")
     corpus = _Corpus(texts, index, width, percent)
-    keys = materialize(_allocated(texts.select("rk", "text").mapInArrow(_keys(width, percent), _KEY_ROW)), "ngram-keys")
+    plain = texts.select("rk", "text")
+    listed = plain.mapInArrow(_keys(width, percent), _KEY_ROW)
+    counted = plain.mapInArrow(_keys(width, percent, names=("key",)), "key long")
+    keys = materialize(_allocated(listed, counted), "ngram-keys")
     digests = corpus.digests(keys.select("sid"))
     stars = (
         keys.where("sid != least").selectExpr("least AS a", "sid AS b")
