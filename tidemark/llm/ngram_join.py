@@ -52,12 +52,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Rolling, keyed, mix, mix2
 from tidemark.llm.components import connected_components
 from tidemark.llm.words import each_buffer, shingles
-from tidemark.operators.control import materialize
+from tidemark.operators.control import materialize, session_conf
 
 U64 = np.uint64
 WIDTH = 4
 PERCENT = 85
 _BAND_RATIO = 1.5
+#: Every step is written to the shared folder, so its shuffle files go when it ends
+#: and not whenever the driver happens to collect garbage.
+_STEP_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 @cache
@@ -376,13 +379,8 @@ def _still_apart(keys: DataFrame, labels: DataFrame, digests: DataFrame, percent
     )
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs``: ``rk`` (see ``common.row_key``), id, ``n_shingles``,
-    ``component_id``, the smallest id reachable over links of Jaccard similarity
-    ``percent`` / 100 or more, the row's own included, and ``component``, which
-    names the component: its smallest set id, never null. Ids can be null or
-    repeated, so unlinked rows may share a ``component_id``; they never share a
-    ``component``, except for rows without shingles, whose set is the same."""
+def _labelled_sets(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The set of each row, and the component of each set that is linked, both written."""
     texts = keyed(docs, id_col, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
     index = materialize(texts.mapInArrow(_index(width), f"rk long, doc_id {id_type}, n long, sid long"), "ngram-index")
@@ -407,6 +405,18 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         left = materialize(_still_apart(keys, labels, digests, percent, False), "ngram-left")
         more = corpus.verified(left.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
         labels = connected_components(edges.union(more.where("linked").select("a", "b")))
+    return index, labels
+
+
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs``: ``rk`` (see ``common.row_key``), id, ``n_shingles``,
+    ``component_id``, the smallest id reachable over links of Jaccard similarity
+    ``percent`` / 100 or more, the row's own included, and ``component``, which
+    names the component: its smallest set id, never null. Ids can be null or
+    repeated, so unlinked rows may share a ``component_id``; they never share a
+    ``component``, except for rows without shingles, whose set is the same."""
+    with session_conf(docs.sparkSession, _STEP_CONF):
+        index, labels = _labelled_sets(docs, id_col, text_col, width, percent)
     found = labels.select(F.col("id").alias("sid"), "label")
     labelled = index.select("rk", "doc_id", "n", "sid").join(found, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     least = labelled.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
