@@ -3,6 +3,7 @@ CSV, UDFs, schema documents, persistence."""
 
 import datetime as dt
 import json
+import os
 import random
 
 import pytest
@@ -15,6 +16,7 @@ from tidemark.operators import cleaning as C
 from tidemark.operators import control as M
 from tidemark.operators import windows as W
 from tidemark.plans import retail as R
+from tidemark.sinks.batch import preview
 from tidemark.sources import files as FS
 
 
@@ -149,7 +151,7 @@ def test_udfs_are_null_safe(spark):
     assert py == [1, None] and pd_ == [1, None]
 
 
-def test_schema_document_ignores_unknown_keys(tmp):
+def test_schema_document_ignores_unknown_keys(spark, tmp):
     doc = {"type": "struct", "fields": [
         {"name": "InvoiceNo", "type": "string", "nullable": True, "metadata": {}, "unique": False},
         {"name": "Quantity", "type": "integer", "nullable": True, "metadata": {}},
@@ -162,6 +164,17 @@ def test_schema_document_ignores_unknown_keys(tmp):
     st = FS.schema_from_json(path)
     assert [f.name for f in st.fields] == ["InvoiceNo", "Quantity", "InvoiceDate", "UnitPrice"]
     assert FS.schema_from_json(json.dumps(doc)) == st
+    assert FS.schema_from_json(path, spark) == st
+    os.mkdir(f"{tmp}/none")
+    with pytest.raises(ValueError):
+        FS.schema_from_json(f"{tmp}/none", spark)
+
+
+def test_preview_takes_no_more_than_asked(spark):
+    df = spark.range(50).selectExpr("id", "50 - id AS v")
+    got = preview(df.orderBy("v"), 3)
+    assert list(got.columns) == ["id", "v"] and got["v"].tolist() == [1, 2, 3]
+    assert preview(df.where("id < 0")).empty
 
 
 def test_inline_ddl_keeps_float(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import broadcast_join
@@ -112,11 +114,12 @@ EVENT_SCHEMA_DOC = {
 
 @register("src_schema_json", "SELECT event_id, user_id, event_type, value FROM events")
 def src_schema_json(spark, sf_dir):
-    """events -> JSON lines -> read with the schema built from the document;
-    fields the document does not name are not read."""
-    path = scratch_path(spark, "events-json-doc")
+    """events -> JSON lines -> read with the schema built from the document, itself
+    read from the shared folder; fields the document does not name are not read."""
+    path, doc = scratch_path(spark, "events-json-doc"), scratch_path(spark, "events-schema")
     T.table(spark, sf_dir, "events").write.json(path)
-    return FS.read_json_dir(spark, path, schema=FS.schema_from_json(EVENT_SCHEMA_DOC))
+    spark.createDataFrame([(json.dumps(EVENT_SCHEMA_DOC),)], "value string").coalesce(1).write.text(doc)
+    return FS.read_json_dir(spark, path, schema=FS.schema_from_json(doc, spark))
 
 
 # ---------------------------------------------------------------- keyed records

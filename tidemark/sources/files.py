@@ -64,21 +64,31 @@ def read_json_dir(
     return reader.json(path)
 
 
-def schema_from_json(doc: str | Mapping[str, Any]) -> StructType:
+def schema_from_json(doc: str | Mapping[str, Any], spark: SparkSession | None = None) -> StructType:
     """Spark schema JSON document (text, dict, or a file path) -> StructType (A4).
 
-    Keys Spark does not know (for example a ``"unique"`` flag on a field)
-    are ignored.
+    With ``spark`` a path is read by Spark, so it can be on any file system the
+    session reaches; without it, it is a file of the driver's machine. Keys Spark
+    does not know (for example a ``"unique"`` flag on a field) are ignored.
     """
     if isinstance(doc, str):
         text = doc
         if not doc.lstrip().startswith("{"):
-            with open(doc, encoding="utf-8") as fh:
-                text = fh.read()
+            text = _document(doc, spark)
         doc = json.loads(text)
     return StructType.fromJson(dict(doc))
 
 
+def _document(path: str, spark: SparkSession | None) -> str:
+    if spark is None:
+        with open(path, encoding="utf-8") as fh:
+            return fh.read()
+    found = spark.read.text(path, wholetext=True).take(2)
+    if len(found) != 1:
+        raise ValueError(f"{path} is not one schema document")
+    return found[0].value
+
+
 def inline(
     spark: SparkSession, rows: Iterable[tuple], schema: StructType | str | list[str]
 ) -> DataFrame:
