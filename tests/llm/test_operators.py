@@ -148,6 +148,21 @@ def test_the_most_frequent_subsets_stay_out_of_the_index(spark):
     assert got == {i: i - 60 if i >= 60 else i for i in range(80)}
 
 
+def test_no_written_step_shuffles_the_keys_twice(spark, corpus, monkeypatch):
+    """The shuffle files of a step lie on disk until it is written."""
+    steps, write = [], ngram_join.materialize
+
+    def record(df, name):
+        steps.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")))
+        return write(df, name)
+
+    monkeypatch.setattr(ngram_join, "materialize", record)
+    ngram_join.similar_components(table(spark, corpus))
+    listings = dict(steps)
+    assert listings["ngram-uses"] == listings["ngram-kept"] == 1
+    assert max(listings.values()) == 1
+
+
 def test_groups_in_blocks_of_few_elements(spark, corpus, monkeypatch):
     want = {(r.doc_id, r.component_id) for r in ngram_join.similar_components(table(spark, corpus)).collect()}
     monkeypatch.setattr(ngram_join, "BLOCK_ELEMENTS", 200)
