@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, mixing, ngram_join, quality, revisits, secrets, suffix_dedup, token_counts, token_files
+from tidemark.llm import decontaminate, fingerprints, mixing, ngram_join, quality, queries, revisits, secrets, suffix_dedup, token_counts, token_files
 
 SCHEMA = "doc_id long, text string, source string, lang string, rk long, h long, size int, x string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -63,6 +63,29 @@ def test_repeats_are_cut_as_by_brute_force(spark, corpus):
     assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
 
 
+def test_planted_passages_by_query(spark, tmp):
+    """Passages of over 50 words in two documents each: of 400 bytes they go, of
+    399 they stay. ``n_bytes`` is the length before, whatever is removed."""
+    rnd = random.Random(11)
+    text = lambda n: " ".join("".join(rnd.choice("abcdeé") for _ in range(rnd.randint(4, 7))) for _ in range(n))
+    docs = [text(300), "", None]
+    kept = [t or "" for t in docs]
+    for n in (399, 400, 401, 900):
+        passage = "".join(rnd.choice("abcd ") for _ in range(n))
+        assert len(passage.split()) > 50
+        for before, after in ("<>", "[]"):
+            head, tail = text(rnd.randint(0, 90)) + before, after + text(rnd.randint(0, 90))
+            docs.append(head + passage + tail)
+            kept.append(head + tail if n >= 400 else docs[-1])
+    table(spark, docs).write.parquet(f"{tmp}/documents.parquet")
+    got = queries.op1_suffix_dedup(spark, tmp)
+    assert got.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    size = lambda t: len((t or "").encode())
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()} == {
+        i: (size(t), size(t) - size(k), int(size(t) > size(k)), hashlib.sha256(k.encode()).hexdigest()) for i, (t, k) in enumerate(zip(docs, kept))
+    }
+
+
 def shingle_set(text, width):
     w = [x.translate({i: i + 32 for i in range(65, 91)}) for x in WORD.findall(text or "")]
     return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} or ({tuple(w)} if w else set())
