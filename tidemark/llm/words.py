@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm.common import Rolling, buffers, mix, mix2
+from tidemark.llm.common import Rolling, mix, mix2, text_buffers
 
 U64 = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -58,6 +58,5 @@ def shingles(rolling: Rolling, texts: list[bytes], width: int) -> tuple[np.ndarr
 
 def each_buffer(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for batch in batches:
-        texts = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
-        for a, b in buffers([len(t) for t in texts]):
-            yield batch.slice(a, b - a), texts[a:b]
+        for a, b, texts in text_buffers(batch):
+            yield batch.slice(a, b - a), texts
