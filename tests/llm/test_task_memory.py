@@ -7,7 +7,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm import suffix_dedup
+from tidemark.llm import ngram_join, suffix_dedup
 from tidemark.llm.words import each_buffer
 
 
@@ -55,3 +55,38 @@ def test_slices_are_compared_without_holding_the_partition(monkeypatch):
             uses[x] = uses.get(x, 0) + 1
     assert got == {(rk, lo + k) for _, rk, lo, whole, ids in rows for k, x in enumerate(ids) if uses[x] > 1 and not whole}
     assert first < len(rows) / 40 / 2
+
+
+def cells(rows):
+    kinds = {"key": pa.int64(), "cell": pa.int64(), "sid": pa.int64(), "salt": pa.int64(), "label": pa.int64(), "n": pa.int64(), "digest": pa.binary()}
+    for a in range(0, len(rows), 700):
+        columns = zip(*rows[a : a + 700])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values())], names=list(kinds))
+
+
+def test_pairs_of_a_large_cell_are_handed_on_in_parts():
+    rows = [(1, 0, i - 700, 0, i, 20, bytes(16)) for i in range(1000)]
+    out = []
+
+    def run():
+        for batch in ngram_join._cell_pairs(85, False)(cells(rows)):
+            out.append(batch.num_rows)
+            assert all(a < b for a, b in batch.slice(0, 50).to_pandas().to_numpy())
+
+    assert peak(run) < 15_000_000  # as tuples they took 82 MB for 1500 sets
+    assert sum(out) == 1000 * 999 // 2
+
+
+def test_pairs_of_cells_by_brute_force():
+    rnd = random.Random(6)
+    digests = [rnd.randbytes(16) for _ in range(3)]
+    rows = sorted((k, 0, rnd.randint(-(10**9), 10**9), rnd.randint(0, 1), rnd.randint(0, 9), 20, rnd.choice(digests)) for k in range(60) for _ in range(rnd.randint(1, 40)))
+    pairs = lambda way: [p for b in ngram_join._cell_pairs(85, way)(cells(rows)) for p in zip(*b.to_pydict().values())]
+    want = set()
+    for i, x in enumerate(rows):
+        for y in rows[i + 1 :]:
+            blocks = {r[3] for r in rows if r[0] == x[0]}
+            if x[0] == y[0] and x[4] != y[4] and x[6] == y[6] and (len(blocks) == 1 or x[3] != y[3]):
+                want.add((min(x[2], y[2]), max(x[2], y[2])))
+    assert sorted(pairs(False)) == sorted(want)
+    assert set(pairs(True)) <= want and len(pairs(True)) < len(want)
