@@ -1,6 +1,7 @@
 """What a Python worker holds at once is bounded by a range of texts, a slice or a
 cell, and not by all that a batch or a partition has."""
 
+import itertools
 import random
 import tracemalloc
 
@@ -83,10 +84,11 @@ def test_pairs_of_cells_by_brute_force():
     rows = sorted((k, 0, rnd.randint(-(10**9), 10**9), rnd.randint(0, 1), rnd.randint(0, 9), 20, rnd.choice(digests)) for k in range(60) for _ in range(rnd.randint(1, 40)))
     pairs = lambda way: [p for b in ngram_join._cell_pairs(85, way)(cells(rows)) for p in zip(*b.to_pydict().values())]
     want = set()
-    for i, x in enumerate(rows):
-        for y in rows[i + 1 :]:
-            blocks = {r[3] for r in rows if r[0] == x[0]}
-            if x[0] == y[0] and x[4] != y[4] and x[6] == y[6] and (len(blocks) == 1 or x[3] != y[3]):
+    for k in range(60):
+        cell = [r for r in rows if r[0] == k]
+        blocks = {r[3] for r in cell}
+        for x, y in itertools.combinations(cell, 2):
+            if x[4] != y[4] and x[6] == y[6] and (len(blocks) == 1 or x[3] != y[3]):
                 want.add((min(x[2], y[2]), max(x[2], y[2])))
     assert sorted(pairs(False)) == sorted(want)
     assert set(pairs(True)) <= want and len(pairs(True)) < len(want)
