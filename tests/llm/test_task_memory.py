@@ -8,8 +8,9 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm import ngram_join, suffix_dedup
+from tidemark.llm import decontaminate, ngram_join, suffix_dedup
 from tidemark.llm.words import each_buffer
+from tidemark.operators import control
 
 
 def peak(run):
@@ -92,3 +93,46 @@ def test_pairs_of_cells_by_brute_force():
                 want.add((min(x[2], y[2]), max(x[2], y[2])))
     assert sorted(pairs(False)) == sorted(want)
     assert set(pairs(True)) <= want and len(pairs(True)) < len(want)
+
+
+WIDE = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def written(monkeypatch, module):
+    paths = []
+    write = control.materialize
+    def kept(df, name="materialized"):
+        out = write(df, name)
+        paths.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(module, "materialize", kept)
+    return paths
+
+
+def test_a_small_benchmark_is_one_small_table(spark, tmp, monkeypatch):
+    names = [f"w{i}" for i in range(400)]
+    bench = [(i, " ".join(names[i : i + 7 + i % 5])) for i in range(150)] * 2 + [(200, "w5 w6"), (201, None), (202, " ")]
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, "x " + " ".join(names[20:35]) + " y"), (2, " ".join(names[200:210])), (3, "a w5 w6 b")], "doc_id long, text string")
+    paths = written(monkeypatch, decontaminate)
+    with control.session_conf(spark, WIDE):
+        found = decontaminate.contained_items(docs, spark.read.parquet(f"{tmp}/benchmark.parquet")).collect()
+    assert paths == [("benchmark-items", 1)]  # two tables of 60 tasks before
+
+    def share(q, d):
+        grams = lambda t, n: {tuple(t.split()[k : k + n]) for k in range(len(t.split()) - n + 1)}
+        n = min(5, len(q.split()))
+        return len(grams(q, n) & grams(d, n)) / len(grams(q, n))
+
+    want = {(d.doc_id, i) for d in docs.collect() for i, q in bench if q and q.strip() and share(q, d.text) >= 0.8}
+    assert {(r.doc_id, r.item_id) for r in found} == want and (3, 200) in want and len(found) == len(want) > 3
+
+
+def test_few_parts_follow_the_size(spark, tmp):
+    spark.range(0, 3000, 1, 5).write.parquet(f"{tmp}/t")
+    df = spark.read.parquet(f"{tmp}/t")
+    with control.session_conf(spark, WIDE):
+        parts = lambda size: control.few_parts(df.repartition(60), df, size).rdd.getNumPartitions()
+        size = control.estimated_bytes(df)
+        assert (parts(1 << 18), parts(size // 7), parts(1)) == (1, 8, 60)

@@ -21,12 +21,12 @@ Null ids are kept. Repeats of a document or an item (equal id and text) count on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import keyed
 from tidemark.llm.shingles import with_hashes, with_short_hashes, with_short_strings, with_strings, with_words
-from tidemark.operators.control import materialize
+from tidemark.operators.control import few_parts, materialize
 
 WIDTH = 5
 CONTAINMENT = 0.8
@@ -34,12 +34,11 @@ CONTAINMENT = 0.8
 BROADCAST_SHINGLES = 500_000
 
 
-def _signatures(items: DataFrame, containment: float) -> DataFrame:
+def _signature(containment: float) -> Column:
     size = F.size("hashes")
     upper = F.pow(F.lit(2), F.floor(F.log2(size)) + 1) - 1
     length = F.least(size, (F.floor((1 - containment) * upper + 1e-9) + 1).cast("int"))
-    least = F.slice(F.sort_array("hashes"), F.lit(1), length)
-    return items.where(size > 0).select("item", F.explode(least).alias("h"))
+    return F.when(size > 0, F.slice(F.sort_array("hashes"), F.lit(1), length))
 
 
 def contained_items(
@@ -52,20 +51,20 @@ def contained_items(
     of a benchmark item."""
     items = with_words(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")), "text", "words", fold=True)
     items = with_strings(with_hashes(items, "words", "hashes", width), "words", "grams", width)
-    items = materialize(
-        items.select("item_id", F.xxhash64("item_id", "text").alias("item"), F.size("words").alias("n_words"), "hashes", "grams").dropDuplicates(["item"]),
-        "benchmark-items",
-    )
-    # at most width - 1 numbers
-    lengths = sorted(r.n_words for r in items.where((F.col("n_words") > 0) & (F.col("n_words") < width)).select("n_words").distinct().collect()) if short_items else []
-    probes = materialize(_signatures(items, containment).distinct(), "benchmark-signatures")
+    signed = items.select("item_id", F.xxhash64("item_id", "text").alias("item"), F.size("words").alias("n_words"), _signature(containment).alias("signature"), "grams")
+    items = materialize(few_parts(signed.dropDuplicates(["item"]), benchmark), "benchmark-items")
+    # at most width - 1 numbers, and the shingles of all items
+    short = F.when((F.col("n_words") > 0) & (F.col("n_words") < width), F.col("n_words"))
+    about = items.agg(F.collect_set(short).alias("lengths"), F.coalesce(F.sum(F.size("grams")), F.lit(0)).alias("shingles")).first()
+    lengths = sorted(about.lengths) if short_items else []
+    probes = items.select("item", F.explode("signature").alias("h"))
     grams = items.select("item", "item_id", F.col("grams").alias("item_grams"))
     texts = keyed(docs, id_col, text_col)
     worded = with_words(texts, "text", "words", fold=True)
     # explode_outer: a plain explode would push a test of the array's size below
     # the shingling, and evaluate the words again for every shingle
     hashed = with_short_hashes(with_hashes(worded, "words", "hashes", width), "words", "hashes", lengths)
-    if (items.agg(F.sum(F.size("grams"))).first()[0] or 0) <= BROADCAST_SHINGLES:
+    if about.shingles <= BROADCAST_SHINGLES:
         # one scan: a document's words stay with its candidates, nothing is shuffled but results
         found = hashed.select("rk", "doc_id", "words", F.explode_outer("hashes").alias("h")).join(F.broadcast(probes), "h")
         whole = with_short_strings(with_strings(found.join(F.broadcast(grams), "item"), "words", "grams", width), "words", "grams", lengths)
