@@ -8,9 +8,11 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm import decontaminate, ngram_join, suffix_dedup
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, importance, ngram_join, suffix_dedup
 from tidemark.llm.words import each_buffer
-from tidemark.operators import control
+from tidemark.operators import control, windows
 
 
 def peak(run):
@@ -95,6 +97,30 @@ def test_pairs_of_cells_by_brute_force():
     assert set(pairs(True)) <= want and len(pairs(True)) < len(want)
 
 
+def test_texts_reach_a_worker_of_importance_by_bytes(spark, monkeypatch):
+    def sizes(buckets, width):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([batch.nbytes], pa.int64())], names=["bucket", "n"])
+
+        return run
+
+    seen = []
+    monkeypatch.setattr(importance, "_counting", sizes)
+    monkeypatch.setattr(importance, "_counts", lambda found, buckets: seen.append(found.agg(F.max("n")).first()[0]) or np.zeros(buckets, np.int64))
+    monkeypatch.setattr(importance, "histogram", lambda df, text_col, buckets, width: df.select("text").mapInArrow(importance._counting(buckets, width), "bucket int, n long"))
+    long = spark.range(0, 900, 1, 1).selectExpr("id AS doc_id", "repeat('long text ', 3000) AS text")
+    assert importance.resample(long, long).count() == 900
+    assert len(seen) == 2 and 0 < max(seen) < 6_000_000  # 27 MB in one batch before
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+
+
+def test_remembered_buckets_of_a_worker_are_bounded():
+    texts = [b" ".join(b"word%d" % i for i in range(a, a + 5000)) for a in range(0, 300_000, 5000)]
+    bucket_of = importance._BucketOf(10_000)
+    assert peak(lambda: [importance.features([t], 1, bucket_of) for t in texts]) < 15_000_000  # 38 MB for all of them
+
+
 WIDE = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
 
@@ -129,6 +155,16 @@ def test_a_small_benchmark_is_one_small_table(spark, tmp, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in found} == want and (3, 200) in want and len(found) == len(want) > 3
 
 
+def test_sorted_rows_of_a_small_table_are_few_files(spark, tmp, monkeypatch):
+    rows = spark.range(0, 3000, 1, 5).select((F.col("id") * 31 % 97).alias("a"), "id")
+    paths = written(monkeypatch, control)
+    with control.session_conf(spark, WIDE):
+        df = control.materialize(rows, "few")
+        got = {r.id: r.position for r in windows.global_position(df, [F.col("a").desc(), F.col("id").asc()], materialize_input=False).collect()}
+    assert paths[-1] == ("position-sorted", 1)  # 60 before
+    assert all(got[i] == n for n, i in enumerate(sorted(range(3000), key=lambda i: (-(i * 31 % 97), i)), 1))
+
+
 def test_few_parts_follow_the_size(spark, tmp):
     spark.range(0, 3000, 1, 5).write.parquet(f"{tmp}/t")
     df = spark.read.parquet(f"{tmp}/t")

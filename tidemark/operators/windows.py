@@ -86,7 +86,8 @@ def global_position(
     if materialize_input:
         df = control.materialize(df, "position-input")
     tagged = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
-    return _positioned(tagged, "position-sorted").withColumnRenamed("_position", alias)
+    # the ids name the sort's partitions, which are gathered only behind them
+    return _positioned(control.few_parts(tagged, df), "position-sorted").withColumnRenamed("_position", alias)
 
 
 def dense_rank_global(
