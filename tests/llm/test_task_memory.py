@@ -143,8 +143,10 @@ def test_a_small_benchmark_is_one_small_table(spark, tmp, monkeypatch):
     docs = spark.createDataFrame([(1, "x " + " ".join(names[20:35]) + " y"), (2, " ".join(names[200:210])), (3, "a w5 w6 b")], "doc_id long, text string")
     paths = written(monkeypatch, decontaminate)
     with control.session_conf(spark, WIDE):
-        found = decontaminate.contained_items(docs, spark.read.parquet(f"{tmp}/benchmark.parquet")).collect()
-    assert paths == [("benchmark-items", 1)]  # two tables of 60 tasks before
+        out = decontaminate.contained_items(docs, spark.read.parquet(f"{tmp}/benchmark.parquet"))
+        found, parts = out.collect(), out.rdd.getNumPartitions()
+    assert paths[0] == ("benchmark-items", 1) and [n for n, _ in paths[1:]] == ["contained-items"]  # two tables of 60 tasks before
+    assert parts == 1  # 60 before
 
     def share(q, d):
         grams = lambda t, n: {tuple(t.split()[k : k + n]) for k in range(len(t.split()) - n + 1)}
@@ -172,3 +174,13 @@ def test_few_parts_follow_the_size(spark, tmp):
         parts = lambda size: control.few_parts(df.repartition(60), df, size).rdd.getNumPartitions()
         size = control.estimated_bytes(df)
         assert (parts(1 << 18), parts(size // 7), parts(1)) == (1, 8, 60)
+
+
+def test_documents_are_not_shuffled_to_drop_the_contaminated(spark):
+    docs = spark.createDataFrame([(i, f"some text of number {i} here") for i in range(200)] + [(None, None)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(1, "text of number 7 here"), (2, "number 9")], "doc_id long, text string")
+    clean = decontaminate.without_contaminated(docs, bench, item_col="doc_id")
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {r.doc_id for r in clean.collect()} == {None, *range(200)} - {7, 9}
+    assert {(r[1], r[2]) for r in decontaminate.contained_items(docs, bench, item_col="doc_id").collect()} == {(7, 1), (9, 2)}  # two columns of one name

@@ -74,14 +74,12 @@ def contained_items(
         listed = with_short_strings(with_strings(worded.join(wanted, "rk").dropDuplicates(["rk"]), "words", "grams", width), "words", "grams", lengths)
         whole = listed.select("rk", "doc_id", "grams", F.explode("items").alias("item")).join(grams, "item")
     shared = F.size(F.array_intersect("grams", "item_grams"))
-    return (
-        whole.select(
-            "rk", F.col("doc_id").alias(id_col), "item", F.col("item_id").alias(item_col),
-            shared.cast("long").alias("n_shared"), F.size("item_grams").cast("long").alias("n_item"),
-        )
-        .withColumn("containment", F.col("n_shared") / F.col("n_item"))
-        .where(F.col("n_shared") >= F.col("n_item") * containment - 1e-9)
-        .distinct().drop("item")
+    rows = whole.select("rk", "doc_id", "item", "item_id", shared.cast("long").alias("n_shared"), F.size("item_grams").cast("long").alias("n_item"))
+    # few rows of many documents: written, their size is known to what comes after
+    found = materialize(rows.where(F.col("n_shared") >= F.col("n_item") * containment - 1e-9), "contained-items")
+    return few_parts(found.distinct(), found).select(
+        "rk", F.col("doc_id").alias(id_col), F.col("item_id").alias(item_col), "n_shared", "n_item",
+        (F.col("n_shared") / F.col("n_item")).alias("containment"),
     )
 
 
